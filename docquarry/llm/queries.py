@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from docquarry.llm import mixing
+from docquarry.llm import chat, mixing, secrets
 
 QUERIES = {
+    "op2_scan_secrets": secrets.op2_scan_secrets,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op6_format_chat": chat.op6_format_chat,
 }
 
 ORACLE_SQL = {
+    "op2_scan_secrets": secrets.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
 }
