@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from docquarry.llm import chat, mixing, pii, quality, secrets
+from docquarry.llm import chat, decontam, media, mixing, pii, quality, secrets
 
 QUERIES = {
+    "op1_decontaminate": decontam.op1_decontaminate,
     "op2_scan_secrets": secrets.op2_scan_secrets,
     "op4_quality": quality.op4_quality,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_format_chat": chat.op6_format_chat,
     "op9_find_personal": pii.op9_find_personal,
+    "op10_audio_features": media.op10_audio_features,
 }
 
 ORACLE_SQL = {
