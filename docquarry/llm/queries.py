@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docquarry.llm import chat, decontam, media, mixing, pii, quality, secrets
+from docquarry.llm import chat, decontam, media, mixing, neardup, pii, quality, secrets
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
     "op2_scan_secrets": secrets.op2_scan_secrets,
+    "op3_ngram_jaccard": neardup.op3_ngram_jaccard,
     "op4_quality": quality.op4_quality,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_format_chat": chat.op6_format_chat,
