@@ -43,25 +43,35 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-#: Bits of a filter (512 KB): a fixed size whatever the input.
-FILTER_BITS = 1 << 22
+#: A filter has at least and at most so many bits (512 KB, 8 MB), 16 a value in between.
+LEAST_BITS, MOST_BITS = 1 << 22, 1 << 26
 
 
 def bit_filter(hashes: DataFrame, column: str) -> np.ndarray:
     """Packed bits that are set for the hashes in ``column``.
 
-    At most FILTER_BITS distinct positions reach the driver.  A filter that
-    fills up lets more through; whoever uses it joins exactly afterwards.
+    The bits are put together by the executors; what reaches the driver is at
+    most MOST_BITS, whatever the input.  A filter that fills up lets more
+    through; whoever uses it joins exactly afterwards.
     """
-    positions = hashes.select(F.col(column).bitwiseAND(FILTER_BITS - 1).cast("int").alias("p")).distinct().toPandas()["p"].to_numpy()
-    bits = np.zeros(FILTER_BITS, bool)
-    bits[positions] = True
-    return np.packbits(bits, bitorder="little")
+    bits = LEAST_BITS
+    while bits < MOST_BITS and bits < 16 * hashes.count():
+        bits *= 4
+    at = F.col(column).bitwiseAND(bits - 1)
+    words = (
+        hashes.select(F.shiftright(at, 5).cast("int").alias("w"), F.expr(f"shiftleft(1L, int({column} & 31))").alias("b"))
+        .groupBy("w")
+        .agg(F.bit_or("b").alias("b"))
+        .toPandas()
+    )
+    packed = np.zeros(bits // 32, np.uint32)
+    packed[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).astype(np.uint32)
+    return packed
 
 
 def in_filter(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = (hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-    return (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    at = (hashes & np.uint64(len(packed) * 32 - 1)).astype(np.int64)
+    return (packed[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
 
 
 def signed(hashes: np.ndarray) -> np.ndarray:
