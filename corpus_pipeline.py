@@ -1,8 +1,62 @@
-"""The corpus pipeline over the training-data operators."""
+"""The corpus pipeline: five training-data operators applied one after another.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what it returns
+is written as Parquet and read again as the next one's docs.  All but the last
+return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from docquarry.llm import decontam, mixing, neardup, pii, quality
+from docquarry.llm.common import table, written
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below its threshold go."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(docs, model, tuple(docs.columns))
+    return scored.where(scored["score"] >= quality.THRESHOLD).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return neardup.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in texts is replaced by its kind."""
+    return pii.redact(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated or left out so that sources meet their targets: a
+    row per copy, numbered by ``copy``."""
+    return mixing.emit_mixture(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("n-gram jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("pii", personal_data_stage),
+    ("mixing", mixing_stage),
+]
+
+#: Trained filters, MinHash and token templates have no SQL; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for position, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if position + 1 < len(STAGES):
+            docs = written(docs, f"stage-{position}-{name.replace(' ', '-')}")
+    return docs

@@ -197,7 +197,7 @@ def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.tables() if model.constant is None else None
         for batch in batches:
-            texts = batch.column(len(arrow_columns))
+            texts = batch.column(where)
             scores = np.empty(batch.num_rows)
             held, starts, first = [], [], 0
             total = 0
@@ -213,7 +213,7 @@ def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("do
                 scores[:] = model.constant
             else:
                 for i, text in enumerate(texts):
-                    chunks = chunks_of(text.as_py().encode())
+                    chunks = chunks_of((text.as_py() or "").encode())
                     starts.append(total)
                     held.append(chunks)
                     total += len(chunks)
@@ -224,7 +224,8 @@ def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("do
                 [batch.column(c) for c in range(len(arrow_columns))] + [pa.array(scores)], [*arrow_columns, "score"]
             )
 
-    return docs.select(*columns, text_of().alias("_text")).mapInArrow(run, schema)
+    where = arrow_columns.index("text") if "text" in columns else len(arrow_columns)
+    return docs.select(*columns, *([] if "text" in columns else ["text"])).mapInArrow(run, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:

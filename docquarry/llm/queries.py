@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docquarry.llm import chat, decontam, media, mixing, neardup, pii, quality, repeats, secrets
+from docquarry.llm import chat, decontam, media, mixing, neardup, pii, quality, repeats, secrets, tokens
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_format_chat": chat.op6_format_chat,
+    "op7_separator_scan": tokens.op7_separator_scan,
     "op8_remove_repeats": repeats.op8_remove_repeats,
     "op9_find_personal": pii.op9_find_personal,
     "op10_audio_features": media.op10_audio_features,
