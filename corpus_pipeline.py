@@ -16,8 +16,8 @@ from docquarry.llm.common import table, written
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below its threshold go."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(docs, model, tuple(docs.columns))
-    return scored.where(scored["score"] >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.score_quality(docs, model, tuple(docs.columns), into="_dq_score")
+    return scored.where(scored["_dq_score"] >= quality.THRESHOLD).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -207,8 +207,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text leaks an item, columns unchanged."""
-    leaked = find_leaks(docs, benchmark).select(F.col("text_key").alias("_leaked")).distinct()
-    return docs.join(leaked, F.md5(text_of()) == F.col("_leaked"), "left_anti")
+    leaked = find_leaks(docs, benchmark).select(F.col("text_key").alias("_dq_leaked")).distinct()
+    return docs.join(leaked, F.md5(text_of()) == F.col("_dq_leaked"), "left_anti")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rat
     null last; weights repeat along that order.  With caps c = max_rate * size
     the targets are min(c, level * weight), where the level makes them add up
     to the total: the sources are sorted by c / weight, and the level is the
-    first (total - caps before) / (weights from here on) that its own source's
+    greatest (total - caps before) / (weights from here on) that its own source's
     ratio is not below.  Both windows run over one row per source, after the
     aggregation.  A source without words gets target 0; no rows, no targets.
     """
@@ -49,7 +49,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rat
         "double"
     ) / F.sum("weight").over(onward)
     levelled = weighed.withColumn("level", F.when(level <= ratio, level))
-    final = F.min("level").over(everything)
+    final = F.max("level").over(everything)
     target = F.when(F.col("source_size") == 0, 0.0).otherwise(
         F.least(F.col("cap").cast("double"), F.coalesce(final, F.lit(float("inf"))) * F.col("weight"))
     )
@@ -73,24 +73,38 @@ def mix_sources(
     nothing is broadcast by hand, and a source that holds much of the rows
     stays splittable, since only a projection follows the join.
     """
+    mixed = _mix(docs.select(*dict.fromkeys((*keep, "doc_id", "text", "source"))), weights, max_rate, seed)
+    return mixed.select(*keep, *[F.col(f"_dq_{c}").alias(c) for c in ("size", "source_size", "target", "copies")])
+
+
+def _mix(docs: DataFrame, weights: tuple[int, ...], max_rate: int, seed: str) -> DataFrame:
+    """``docs`` with ``_dq_size``, ``_dq_source_size``, ``_dq_target``, ``_dq_copies``."""
     text = text_of()
     drawn = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(text)))
     unit = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), drawn)), 1, 12), 16, 10).cast("double") / float(1 << 48)
-    sized = docs.select(*keep, "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), unit.alias("_u"))
-    targets = source_targets(sized, weights, max_rate).withColumnRenamed("source", "_source")
-    joined = sized.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left")
-    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(max_rate)))).otherwise(0.0)
-    copies = F.floor(rate) + F.when(F.col("_u") < rate - F.floor(rate), 1).otherwise(0)
-    return joined.select(*keep, "size", "source_size", "target", copies.cast("long").alias("copies"))
+    size = F.regexp_count(text, F.lit(WORD)).cast("long")
+    sized = docs.select("*", F.col("source").alias("_dq_source"), size.alias("_dq_size"), unit.alias("_dq_unit"))
+    per_source = source_targets(docs.select("source", size.alias("size")), weights, max_rate)
+    targets = per_source.select(
+        F.col("source").alias("_dq_named"), F.col("source_size").alias("_dq_source_size"), F.col("target").alias("_dq_target")
+    )
+    joined = sized.join(targets, F.col("_dq_source").eqNullSafe(F.col("_dq_named")), "left")
+    rate = F.when(
+        F.col("_dq_source_size") > 0, F.least(F.col("_dq_target") / F.col("_dq_source_size"), F.lit(float(max_rate)))
+    ).otherwise(0.0)
+    copies = F.floor(rate) + F.when(F.col("_dq_unit") < rate - F.floor(rate), 1).otherwise(0)
+    return joined.withColumn("_dq_copies", copies.cast("long"))
 
 
-def emit_mixture(docs: DataFrame, **options) -> DataFrame:
-    """The mixture itself: the columns of ``docs`` and ``copy`` (from 0), a row
-    per copy taken.  Documents with no copies do not appear."""
-    columns = docs.columns
-    mixed = mix_sources(docs, keep=tuple(columns), **options)
-    copy = F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))).alias("copy")
-    return mixed.where("copies > 0").select(*columns, copy)
+def emit_mixture(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED
+) -> DataFrame:
+    """The mixture itself: the columns of ``docs`` and ``copy`` (from 0; named
+    ``mix_copy`` if there is such a column already), a row per copy taken.
+    Documents with no copies do not appear."""
+    name = "mix_copy" if "copy" in docs.columns else "copy"
+    copy = F.explode(F.sequence(F.lit(0), (F.col("_dq_copies") - 1).cast("int"))).alias(name)
+    return _mix(docs, weights, max_rate, seed).where("_dq_copies > 0").select(*docs.columns, copy)
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +134,7 @@ level AS (
 targets AS (
   SELECT source, source_size,
          CASE WHEN source_size = 0 THEN 0.0::DOUBLE
-              ELSE least(cap::DOUBLE, (SELECT min(lvl) FROM level WHERE lvl <= ratio) * weight) END AS target
+              ELSE least(cap::DOUBLE, (SELECT max(lvl) FROM level WHERE lvl <= ratio) * weight) END AS target
   FROM level),
 rated AS (
   SELECT s.doc_id, s.size, t.source_size, t.target,

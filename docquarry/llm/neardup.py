@@ -302,9 +302,9 @@ def similar_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _with_classes(docs: DataFrame, classes: DataFrame, columns: list[str]) -> DataFrame:
-    keyed = docs.select(*columns, F.unhex(F.md5(text_of())).alias("_key"))
-    return keyed.join(classes.withColumnRenamed("key", "_own"), F.col("_key") == F.col("_own"), "left").select(
-        *columns, "_key", F.coalesce("class_key", "_key").alias("_class")
+    keyed = docs.select(*columns, F.unhex(F.md5(text_of())).alias("_dq_key"))
+    return keyed.join(classes.withColumnRenamed("key", "_dq_own"), F.col("_dq_key") == F.col("_dq_own"), "left").select(
+        *columns, "_dq_key", F.coalesce("class_key", "_dq_key").alias("_dq_class")
     )
 
 
@@ -320,15 +320,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     classes, links = similar_texts(docs)
     classed = _with_classes(docs, classes, ["doc_id"])
-    per_text = classed.groupBy("_class", "_key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    per_class = per_text.groupBy("_class").agg(F.min("least").alias("class_id"))
+    per_text = classed.groupBy("_dq_class", "_dq_key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    per_class = per_text.groupBy("_dq_class").agg(F.min("least").alias("class_id"))
     facts = (
-        per_text.join(per_class, "_class")
-        .join(links.withColumnRenamed("key", "_key"), "_key", "left")
-        .select(F.col("_key").alias("_fact"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
+        per_text.join(per_class, "_dq_class")
+        .join(links.withColumnRenamed("key", "_dq_key"), "_dq_key", "left")
+        .select(F.col("_dq_key").alias("_dq_fact"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
     )
-    keyed = docs.select("doc_id", F.unhex(F.md5(text_of())).alias("_key"))
-    return keyed.join(facts, F.col("_key") == F.col("_fact")).select("doc_id", "class_id", "n_links")
+    keyed = docs.select("doc_id", F.unhex(F.md5(text_of())).alias("_dq_key"))
+    return keyed.join(facts, F.col("_dq_key") == F.col("_dq_fact")).select("doc_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -337,15 +337,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     classes, _ = similar_texts(docs)
     classed = _with_classes(docs, classes, ["doc_id"])
-    rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_key").alias("k"))
-    best = classed.groupBy("_class", "_key", "doc_id").agg(F.count(F.lit(1)).alias("rows")).groupBy("_class").agg(
-        F.min_by(F.struct("doc_id", "_key", "rows"), rank).alias("b")
+    rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_dq_key").alias("k"))
+    best = classed.groupBy("_dq_class", "_dq_key", "doc_id").agg(F.count(F.lit(1)).alias("rows")).groupBy("_dq_class").agg(
+        F.min_by(F.struct("doc_id", "_dq_key", "rows"), rank).alias("b")
     )
-    chosen = written(best.select(F.col("b.doc_id").alias("_id"), F.col("b._key").alias("_best"), F.col("b.rows").alias("_rows")), "near-chosen")
-    keyed = docs.withColumn("_key", F.unhex(F.md5(text_of())))
-    fits = (F.col("_key") == F.col("_best")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    single = keyed.join(chosen.where("_rows = 1"), fits, "left_semi")
-    repeated = keyed.join(chosen.where("_rows > 1"), fits, "left_semi").dropDuplicates(["_key"])
+    chosen = written(best.select(F.col("b.doc_id").alias("_dq_id"), F.col("b._dq_key").alias("_dq_best"), F.col("b.rows").alias("_dq_rows")), "near-chosen")
+    keyed = docs.withColumn("_dq_key", F.unhex(F.md5(text_of())))
+    fits = (F.col("_dq_key") == F.col("_dq_best")) & F.col("doc_id").eqNullSafe(F.col("_dq_id"))
+    single = keyed.join(chosen.where("_dq_rows = 1"), fits, "left_semi")
+    repeated = keyed.join(chosen.where("_dq_rows > 1"), fits, "left_semi").dropDuplicates(["_dq_key"])
     return single.unionByName(repeated).select(*columns)
 
 

@@ -114,10 +114,10 @@ _EDGES = "array<struct<start:int,kind:int,end:int,instance:string,pattern:long>>
 
 
 def _scan(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """``keep``, ``_row``, ``base`` and ``edges`` per document."""
-    source = docs.select(*keep, text_of().alias("_text")).withColumn("_row", F.monotonically_increasing_id())
-    order = [*keep, "_row", "_text"]
-    schema = source.select(*keep, "_row", F.lit(None).cast(_SPANS).alias("base"), F.lit(None).cast(_EDGES).alias("edges")).schema
+    """``keep``, ``_dq_row``, ``_dq_base`` and ``_dq_edges`` per document."""
+    source = docs.select(*keep, text_of().alias("_dq_text")).withColumn("_dq_row", F.monotonically_increasing_id())
+    order = [*keep, "_dq_row", "_dq_text"]
+    schema = source.select(*keep, "_dq_row", F.lit(None).cast(_SPANS).alias("_dq_base"), F.lit(None).cast(_EDGES).alias("_dq_edges")).schema
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     edge_type = pa.list_(
         pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("instance", pa.string()), ("pattern", pa.int64())])
@@ -138,7 +138,7 @@ def _scan(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
                 spans.append([{"start": a, "kind": k, "end": b} for a, k, b in found])
                 edges.append(graph)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(spans, span_type), pa.array(edges, edge_type)], [*order[:-1], "base", "edges"]
+                [*batch.columns[:-1], pa.array(spans, span_type), pa.array(edges, edge_type)], [*order[:-1], "_dq_base", "_dq_edges"]
             )
 
     return source.select(*order).mapInArrow(run, schema)
@@ -190,31 +190,31 @@ def _bootstrap(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFrame:
     return known
 
 
-def find_personal(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rounds: int = ROUNDS) -> DataFrame:
-    """``keep`` columns and ``found``: all spans of a document, sorted, as
+def find_personal(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rounds: int = ROUNDS, into: str = "found") -> DataFrame:
+    """``keep`` columns and, as ``into``, all spans of a document, sorted, as
     structs of start, kind (index into KINDS) and end, in code points.
 
     A row per input row, repeated rows included; null and empty texts have no
     spans.  Found context spans never overlap base spans.  Names in ``keep``
-    must not begin with an underscore.
+    must not begin with ``_dq_``.
     """
     scanned = written(_scan(docs, keep), "pii-scan")
-    edges = scanned.select("_row", F.explode("edges").alias("e")).select("_row", "e.*")
+    edges = scanned.select("_dq_row", F.explode("_dq_edges").alias("e")).select("_dq_row", "e.*")
     patterns = edges.select("pattern", "instance").distinct().groupBy("pattern").count().where(F.col("count") >= MIN_INSTANCES)
     packed = bit_filter(patterns, "pattern")
-    base = F.col("base")
+    base = F.col("_dq_base")
     if not packed.any():
-        return scanned.select(*keep, base.alias("found"))
+        return scanned.select(*keep, base.alias(into))
     known = _bootstrap(edges, _pattern_totals(docs, packed).join(patterns, "pattern", "left_semi"), rounds)
     gained = (
         edges.where("kind = 4")
         .join(known, "instance", "left_semi")
-        .groupBy("_row")
-        .agg(F.collect_list(F.struct("start", "kind", "end")).alias("gained"))
+        .groupBy("_dq_row")
+        .agg(F.collect_list(F.struct("start", "kind", "end")).alias("_dq_gained"))
     )
     nothing = F.array().cast(_SPANS)
-    return scanned.join(gained, "_row", "left").select(
-        *keep, F.array_sort(F.concat(base, F.coalesce("gained", nothing))).alias("found")
+    return scanned.join(gained, "_dq_row", "left").select(
+        *keep, F.array_sort(F.concat(base, F.coalesce("_dq_gained", nothing))).alias(into)
     )
 
 
@@ -239,10 +239,10 @@ def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             out.append("".join(parts) + t[at:])
         return pd.Series(out, dtype=object)
 
-    found = find_personal(docs, columns, rounds)
-    changed = found.withColumn("text", F.when(F.size("found") > 0, replaced("text", "found")).otherwise(F.col("text")))
+    found = find_personal(docs, columns, rounds, into="_dq_found")
+    changed = found.withColumn("text", F.when(F.size("_dq_found") > 0, replaced("text", "_dq_found")).otherwise(F.col("text")))
     if "n_chars" in columns:
-        changed = changed.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        changed = changed.withColumn("n_chars", F.when(F.size("_dq_found") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return changed.select(*columns)
 
 

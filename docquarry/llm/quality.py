@@ -184,14 +184,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = TR
     return [([bytes(c) for c in r["chunks"]], r["quality"]) for r in found], prior
 
 
-def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` of ``docs`` and ``score``, a row per input row.
+def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",), into: str = "score") -> DataFrame:
+    """``columns`` of ``docs`` and the score as ``into``, a row per input row.
 
     Null texts are scored as empty.  All chunks of a text count, however many;
     they are worked off in blocks, so memory does not follow their number.
     Equal texts score alike.
     """
-    schema = docs.select(*columns).schema.add("score", "double")
+    schema = docs.select(*columns).schema.add(into, "double")
     arrow_columns = list(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +221,7 @@ def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("do
                         flush(i + 1)
                 flush(batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in range(len(arrow_columns))] + [pa.array(scores)], [*arrow_columns, "score"]
+                [batch.column(c) for c in range(len(arrow_columns))] + [pa.array(scores)], [*arrow_columns, into]
             )
 
     where = arrow_columns.index("text") if "text" in columns else len(arrow_columns)
