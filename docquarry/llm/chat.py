@@ -291,7 +291,9 @@ def fold(tree: tuple) -> tuple:
             branches.append((test, fold(body)))
             if test[0] == "const":
                 break
-        if branches and branches[0][0][0] == "const":
+        if not branches:
+            return ("block", ())
+        if branches[0][0][0] == "const":
             return branches[0][1]
         return ("if", tuple(branches))
     body: list[tuple] = []
