@@ -42,55 +42,60 @@ _NUM_HASH, _UNIT_HASH, _NAME_HASH = (xxhash.xxh64_intdigest(x) for x in ("\x00nu
 
 
 class _Tokens(dict):
-    """Token to row of three columns: hash in lower case, hash with names as
-    placeholders, and class.  Bounded."""
+    """Token to its place in two columns: hash in lower case (of the placeholder
+    for numbers) and class.  Bounded."""
 
     def __init__(self):
         super().__init__()
-        self.rows: list[tuple[int, int, int]] = []
-        self.columns = (np.empty(1024, np.uint64), np.empty(1024, np.uint64), np.empty(1024, np.int8))
-        self.filled = 0
+        self._reset()
+
+    def _reset(self) -> None:
+        self.clear()
+        self.hashes, self.kinds = np.empty(1024, np.uint64), np.empty(1024, np.int8)
+        self.filled, self.new_hashes, self.new_kinds = 0, [], []
 
     def __missing__(self, token: str) -> int:
         lower = token.lower()
-        literal = xxhash.xxh64_intdigest(lower)
-        if not token[-1].isalpha():
-            row = (_NUM_HASH, _NUM_HASH, _NUMBER)
-        elif lower in UNITS:
-            row = (literal, literal, _UNIT)
-        elif token[0].isupper() and token[1:].islower():
-            row = (literal, _NAME_HASH, _NAME)
+        value = xxhash.xxh64_intdigest(lower)
+        if lower == token:
+            kind = _WORD
+            if not token[-1].isalpha():
+                kind, value = _NUMBER, _NUM_HASH
+            elif token in UNITS:
+                kind = _UNIT
         else:
-            row = (literal, literal, _WORD)
-        self[token] = len(self.rows)
-        self.rows.append(row)
-        return len(self.rows) - 1
+            kind = _UNIT if lower in UNITS else _NAME if token[1:] == lower[1:] else _WORD
+        self.new_hashes.append(value)
+        self.new_kinds.append(kind)
+        place = self[token] = len(self)
+        return place
 
-    def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self) >= WORDS_KEPT:
-            self.clear()
-            self.rows, self.filled = [], 0
-        ids = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
-        if len(self.rows) > len(self.columns[0]):
-            self.columns = tuple(np.resize(c, 2 * len(self.rows)) for c in self.columns)
-        for row in self.rows[self.filled :]:
-            for c, v in zip(self.columns, row, strict=True):
-                c[self.filled] = v
-            self.filled += 1
-        return tuple(c[ids] for c in self.columns)
-
-
-def templates(text: str, tokens_known: _Tokens) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
+            self._reset()
+        places = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        if self.new_hashes:
+            end = self.filled + len(self.new_hashes)
+            if end > len(self.hashes):
+                self.hashes, self.kinds = np.resize(self.hashes, 2 * end), np.resize(self.kinds, 2 * end)
+            self.hashes[self.filled : end] = np.array(self.new_hashes, np.uint64)
+            self.kinds[self.filled : end] = self.new_kinds
+            self.filled, self.new_hashes, self.new_kinds = end, [], []
+        return self.hashes[places], self.kinds[places]
+
+
+def templates(text: str, known: _Tokens) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
     """The tokens, and per template the hashes and whether each is a placeholder."""
     tokens = _TOKEN.findall(text)
     if not tokens:
         return tokens, []
-    literal, named, kind = tokens_known.of(tokens)
-    number = kind == _NUMBER
-    unit = (kind == _UNIT) & np.concatenate([[False], number[:-1]])
-    literal, named = literal.copy(), named.copy()
-    literal[unit] = named[unit] = _UNIT_HASH
-    return tokens, [(literal, number | unit), (named, number | unit | (kind == _NAME))]
+    literal, kind = known.of(tokens)
+    slot = kind == _NUMBER
+    unit = (kind == _UNIT) & np.concatenate([[False], slot[:-1]])
+    literal[unit] = _UNIT_HASH
+    slot |= unit
+    name = kind == _NAME
+    return tokens, [(literal, slot), (np.where(name, np.uint64(_NAME_HASH), literal), slot | name)]
 
 
 def window_hashes(hashes: np.ndarray, placeholder: np.ndarray, width: int, template: int) -> tuple[np.ndarray, np.ndarray]:
