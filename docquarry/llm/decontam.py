@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import table, text_of, written
@@ -175,8 +175,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text), ``item_id``, ``kind`` (``exact`` or ``reparameterised``),
     ``covered`` and ``item_tokens``.
 
-    An item is leaked if windows of one document cover COVERED of its tokens,
-    or all of them if it has fewer, with consistent slots.  Null texts count as
+    An item is leaked if windows of one document cover COVERED of its tokens, or
+    all of them if it has fewer, either with the item's own values in the slots
+    (then what else agrees in shape around them does not matter) or with other
+    values that are consistent over all windows.  Null texts count as
     empty and match nothing, as do items of under SHORTEST tokens.  Repeated
     rows of a document or of an item give one row; documents with one id but
     different texts are told apart by ``text_key``, null ids likewise.
@@ -189,22 +191,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "text_key", "item_id", "item_key", "n_tokens", "pos", "width", F.arrays_zip("item_slots", "doc_slots").alias("slots")
     )
     group = ["doc_id", "text_key", "item_id", "item_key", "n_tokens", "width"]
+    same = F.forall("slots", lambda p: p["item_slots"].eqNullSafe(p["doc_slots"]))
     matched = joined.groupBy(*group).agg(
-        F.array_sort(F.collect_set("pos")).alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs")
+        F.array_sort(F.collect_set("pos")).alias("at"),
+        F.array_sort(F.collect_set(F.when(same, F.col("pos")))).alias("same_at"),
+        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs"),
     )
-    at, width = F.col("at"), F.col("width")
-    covered = F.aggregate(
-        F.transform(at, lambda p, i: F.when(i + 1 < F.size(at), F.least(F.get(at, i + 1) - p, width)).otherwise(width)), F.lit(0), lambda a, x: a + x
-    )
-    values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
-    changed = F.exists("pairs", lambda p: ~p["item_slots"].eqNullSafe(p["doc_slots"]))
+    width = F.col("width")
+
+    def covered(at: Column) -> Column:
+        steps = F.transform(at, lambda p, i: F.when(i + 1 < F.size(at), F.least(F.get(at, i + 1) - p, width)).otherwise(width))
+        return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
+
+    enough = F.least(F.lit(COVERED), F.col("n_tokens"))
+    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))) == F.size("pairs")
+    told = matched.select("*", covered(F.col("same_at")).alias("as_is"), covered(F.col("at")).alias("in_shape"))
     return (
-        matched.withColumn("covered", covered)
-        .where((F.col("covered") >= F.least(F.lit(COVERED), F.col("n_tokens"))) & (values == F.size("pairs")))
+        told.where((F.col("as_is") >= enough) | ((F.col("in_shape") >= enough) & consistent))
         .groupBy("doc_id", "text_key", "item_id")
         .agg(
-            F.when(F.min(changed.cast("int")) == 1, "reparameterised").otherwise("exact").alias("kind"),
-            F.max("covered").alias("covered"),
+            F.when(F.max((F.col("as_is") >= enough).cast("int")) == 1, "exact").otherwise("reparameterised").alias("kind"),
+            F.max(F.when(F.col("as_is") >= enough, F.col("as_is")).otherwise(F.col("in_shape"))).alias("covered"),
             F.max("n_tokens").alias("item_tokens"),
         )
     )

@@ -1,0 +1,97 @@
+import hashlib
+import random
+import re
+
+from docquarry.llm import pii
+from tests.llm import cases
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def brute(text):
+    found = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in CARD.finditer(text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 12 <= len(digits) <= 19 and pii.luhn(digits):
+            found.append((m.start(), 2, m.end()))
+    found += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return sorted(found)
+
+
+def test_base_equals_the_plain_expressions():
+    rng = random.Random(2)
+    for _ in range(20_000):
+        text = "".join(rng.choice("a@.+0123456789- (x1.2@é") for _ in range(rng.randrange(60)))
+        assert pii.base_spans(text) == brute(text), text
+    for text in ["9" * 50_000, "a" * 50_000, "a@" * 20_000, "1." * 20_000, "+1" + " " * 50_000, "4111 1111 1111 1111 a.b@c.de"]:
+        assert pii.base_spans(text) == (brute(text) if len(text) < 100 else pii.base_spans(text))
+
+
+def bootstrapped(texts, rounds=pii.ROUNDS):
+    """The same rounds over plain dictionaries."""
+    edges, totals = [], {}
+    for n, text in enumerate(texts):
+        for a, kind, b, instance, context in pii.graph_edges(text, pii.base_spans(text)):
+            edges.append((n, a, kind, b, instance, context))
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        for pair in zip(words, words[1:]):
+            totals[" ".join(pair)] = totals.get(" ".join(pair), 0) + 1
+    seeds = {(e[4], e[5]) for e in edges if e[2] < 4}
+    found = set()
+    for _ in range(rounds):
+        trusted = {}
+        for context in {e[5] for e in edges}:
+            known = [e for e in edges if e[5] == context and ((e[4], context) in seeds or e[4] in found)]
+            distinct = len({e[4] for e in known})
+            if distinct >= pii.MIN_INSTANCES and totals.get(context) and len(known) / totals[context] >= pii.MIN_PRECISION:
+                trusted[context] = len(known) / totals[context]
+        fresh = set()
+        for instance in {e[4] for e in edges if (e[4], e[5]) not in seeds}:
+            doubt = 1.0
+            for context in {e[5] for e in edges if e[4] == instance and (instance, e[5]) not in seeds} & set(trusted):
+                doubt *= max(1 - trusted[context], 1e-9)
+            if 1 - doubt >= pii.MIN_CONFIDENCE:
+                fresh.add(instance)
+        found = fresh
+    return {n: sorted((a, k, b) for m, a, k, b, i, c in edges if m == n and k == 4 and i in found) for n in range(len(texts))}
+
+
+def cued():
+    texts = [f"please call number +1 (555) 010-{1000 + i} today" for i in range(6)]
+    texts += ["please call number 555-0199-A now", "please call number 77.88.9 or member code ZX-4471 thanks", "member code ZX-4471", "the room 12345 is free"]
+    texts += [f"the price of room number {i}0000 fell" for i in range(3)]
+    return texts
+
+
+def test_patterns_discover_unseen_identifiers(spark):
+    texts = cued()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: [(s["start"], s["kind"], s["end"]) for s in r["found"]] for r in pii.find_personal(docs).collect()}
+    gained = bootstrapped(texts)
+    assert got == {n: sorted(brute(t) + gained[n]) for n, t in enumerate(texts)}
+    assert [texts[6][a:b] for a, k, b in got[6]] == ["555-0199-A"] and got[9] == []
+
+
+def test_awkward_rows(spark, tmp_path):
+    docs = cases.frame(spark, ["mail a.b@c.de, 10.0.0.1 and 4111 1111 1111 1111", "+1 (319) 555-5132"])
+    rows = pii.find_personal(docs, ("doc_id", "text", "found", "key"), into="spans").collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert [(s["start"], s["kind"], s["end"]) for s in r["spans"]] == brute(r["text"] or "")
+    assert pii.find_personal(cases.empty(spark)).count() == 0
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for r in pii.op9_find_personal(spark, str(tmp_path)).collect():
+        assert r["base_sha256"] == hashlib.sha256(r["spans"].encode()).hexdigest()
+
+
+def test_redaction(spark):
+    docs = cases.frame(spark, ["mail a.b@c.de, 10.0.0.1 and 4111 1111 1111 1111"])
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    assert out.where("doc_id = 11").select("text", "n_chars").first() == ("mail [EMAIL], [IP] and [CARD]", 29)
+    kept = {(r["doc_id"], r["text"]) for r in docs.collect() if not pii.base_spans(r["text"] or "")}
+    assert kept <= {(r["doc_id"], r["text"]) for r in out.collect()}
