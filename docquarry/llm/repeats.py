@@ -171,16 +171,20 @@ def _settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Splits named rows into repeats (``key``, ``first``, ``last``) and rows
     that stay open.  ``id`` tells places apart, so copies of a row in a text
     that occurs many times count once.  All steps are minima and maxima per
-    name, so a name that very many rows share is combined before it is sent."""
-    shared = rows.groupBy("core").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("core")
+    name, so a name that very many rows share is combined before it is sent;
+    they are written, so that the joins with them are dealt anew and a name of
+    very many rows can be split."""
+    shared = written(rows.groupBy("core").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("core"), f"{name}-shared")
     alive = written(rows.join(shared, "core", "left_semi"), f"{name}-alive")
-    named = alive.groupBy("name").agg(F.min("id").alias("keeper"), F.max("id").alias("hi"))
+    named = written(alive.groupBy("name").agg(F.min("id").alias("keeper"), F.max("id").alias("hi")), f"{name}-named")
     marked = written(
         alive.join(named, "name").select("key", "anchor", "first", "last", "core", "id", "keeper", (F.col("keeper") != F.col("hi")).alias("twice")),
         f"{name}-marked",
     )
     # Rows of one name share their core, so a core is open if its keepers are several.
-    unsettled = marked.groupBy("core").agg(F.min("keeper").alias("lo"), F.max("keeper").alias("hi")).where("lo <> hi").select("core")
+    unsettled = written(
+        marked.groupBy("core").agg(F.min("keeper").alias("lo"), F.max("keeper").alias("hi")).where("lo <> hi").select("core"), f"{name}-unsettled"
+    )
     repeats = marked.where("twice").select("key", "first", "last")
     still_open = (
         marked.where("NOT twice OR id = keeper").join(unsettled, "core", "left_semi").select("key", "anchor", "first", "last").distinct()
@@ -263,7 +267,7 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     runs, open_runs = _settle(written(_samples(docs), "rep-samples"), "rep-run")
     parts, open_parts = _settle(written(_named(_with_texts(docs, open_runs), _parts_of), "rep-parts"), "rep-part")
     singles = written(_named(_with_texts(docs, open_parts), _strings_of), "rep-strings")
-    twice = singles.groupBy("name").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("name")
+    twice = written(singles.groupBy("name").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("name"), "rep-twice")
     strings = singles.join(twice, "name", "left_semi").select("key", "first", "last")
     return written(runs.unionByName(parts).unionByName(strings), "rep-starts")
 
