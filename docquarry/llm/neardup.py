@@ -178,7 +178,9 @@ def _band_table(docs: DataFrame) -> DataFrame:
 def _star_edges(bands: DataFrame) -> DataFrame:
     """An edge from each text of a bucket to the least text in it."""
     flat = bands.select("key", F.explode("bands").alias("bucket"))
-    shared = flat.groupBy("bucket").agg(F.min("key").alias("center"), F.max("key").alias("other")).where("center <> other").drop("other")
+    shared = written(
+        flat.groupBy("bucket").agg(F.min("key").alias("center"), F.max("key").alias("other")).where("center <> other").drop("other"), "near-buckets"
+    )
     return flat.join(shared, "bucket").where("key <> center").select(F.col("key").alias("a"), F.col("center").alias("b")).distinct()
 
 
@@ -322,10 +324,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classed = _with_classes(docs, classes, ["doc_id"])
     per_text = classed.groupBy("_dq_class", "_dq_key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     per_class = per_text.groupBy("_dq_class").agg(F.min("least").alias("class_id"))
-    facts = (
+    facts = written(
         per_text.join(per_class, "_dq_class")
         .join(links.withColumnRenamed("key", "_dq_key"), "_dq_key", "left")
-        .select(F.col("_dq_key").alias("_dq_fact"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
+        .select(F.col("_dq_key").alias("_dq_fact"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links")),
+        "near-facts",
     )
     keyed = docs.select("doc_id", F.unhex(F.md5(text_of())).alias("_dq_key"))
     return keyed.join(facts, F.col("_dq_key") == F.col("_dq_fact")).select("doc_id", "class_id", "n_links")
