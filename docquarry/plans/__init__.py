@@ -1,0 +1 @@
+"""Plans that bind the operators to tables."""
