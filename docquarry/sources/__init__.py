@@ -1,0 +1 @@
+"""Where rows come from and go to."""

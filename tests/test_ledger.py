@@ -1,0 +1,161 @@
+"""Folds and reconciliation against plain Python, and batch against stream."""
+
+import random
+
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from docquarry.functions.states import STATES, TRANSITIONS, may_follow, transition_table
+from docquarry.operators import funnel, ledger, recon, shards
+from docquarry.plans import bindings as b
+from docquarry.streaming import queries as streams
+from docquarry.streaming import stateful
+
+
+def folded(requests):
+    out = {}
+    for doc, seq, to in sorted(requests, key=lambda r: (r[0], r[1])):
+        state, ok, bad, last = out.get(doc, ("text_pending", 0, 0, None))
+        if to == state or to in TRANSITIONS.get(state, ()):
+            out[doc] = (to, ok + 1, bad, seq)
+        else:
+            out[doc] = (state, ok, bad + 1, last)
+    return out
+
+
+REQUESTS = st.lists(st.tuples(st.integers(0, 4), st.sampled_from(STATES)), max_size=40)
+
+
+@given(REQUESTS)
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_fold_equals_a_loop(spark, requests):
+    rows = [(d, n, s) for n, (d, s) in enumerate(requests)]
+    frame = spark.createDataFrame(rows, "doc_id long, seq long, to_state string")
+    got = {r["doc_id"]: (r["state"], r["accepted"], r["rejected"], r["last_order"]) for r in ledger.transition_fold(frame, "doc_id", "seq", "to_state").collect()}
+    assert got == folded(rows)
+
+
+def test_legal_edges(spark):
+    table = {(r["from_state"], r["to_state"]) for r in transition_table(spark).collect()}
+    assert len(table) == 14
+    pairs = spark.createDataFrame([(a, t) for a in STATES for t in STATES], "a string, t string")
+    for r in pairs.select("a", "t", may_follow(F.col("a"), F.col("t")).alias("ok"), may_follow(F.col("a"), F.col("t"), False).alias("strict")).collect():
+        assert r["strict"] == ((r["a"], r["t"]) in table) and r["ok"] == (r["strict"] or r["a"] == r["t"])
+
+
+def test_stream_equals_batch_over_restarts(spark, tmp_path):
+    """Three files in three runs from one checkpoint, the last a repeat."""
+    rng = random.Random(2)
+    folder, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stateful.STORE)
+    shards_rows, kind = [], "doc_id long, shard_idx int, shards_total int"
+    for n in range(3):
+        part = [(d, rng.randrange(4), 4) for d in range(30) for _ in range(3)] if n < 2 else shards_rows[0]
+        shards_rows.append(part)
+        spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(folder)
+        stream = stateful.scatter_gather(spark.readStream.schema(kind).parquet(folder))
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    got = sorted(r["doc_id"] for r in spark.read.schema("doc_id long, shards_done long").parquet(out).collect())
+    frame = spark.createDataFrame([r for p in shards_rows for r in p], kind)
+    docs = frame.select("doc_id", "shards_total").distinct()
+    wanted = sorted(r["doc_id"] for r in shards.completion(docs, frame, "doc_id", "shard_idx", "shards_total").where("complete").collect())
+    assert got == wanted and len(wanted) > 3
+
+
+def test_streamed_state_equals_the_fold(spark):
+    sf = "/root/testdata/sf0.001"
+    batch = ledger.transition_fold(b.requests(spark, sf), "doc_id", "seq", "to_state").select("doc_id", "state", "accepted", "rejected").collect()
+    stream = streams.stream_state_machine(spark, sf).select("doc_id", "state", "accepted", "rejected").collect()
+    assert sorted(batch) == sorted(stream)
+
+
+def test_winner_is_one_delivery(spark):
+    rows = [(1, 0, 1), (1, 0, 2), (1, 1, 3), (1, 1, 4), (2, 0, 5), (3, 0, 6), (3, 1, 7), (3, 0, 8)]
+    frame = spark.createDataFrame(rows, "doc_id long, shard_idx int, seq long")
+    totals = spark.createDataFrame([(1, 2), (2, 2), (3, 2), (4, 1)], "doc_id long, shards_total long")
+    won = shards.winner(frame, totals, "doc_id", "shard_idx", [F.col("seq")], "shards_total").collect()
+    assert sorted((r["doc_id"], r["seq"]) for r in won) == [(1, 3), (3, 7)]
+
+
+def test_sweep(spark):
+    rows = [
+        (1, "text_running", 100, 1, 2, 0), (2, "text_running", 100, 5, 5, 0), (3, "text_pending", 100, 9, 9, 9), (4, "extract_running", 200, 0, 0, 0),
+        (5, "extract_running", 3600, 0, 0, 5), (6, "complete", 9999, 9, 0, 0), (7, "text_running", 10, 9, 0, 0),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, state string, age int, priority int, text_attempts int, extract_attempts int").withColumn(
+        "state_updated_at", b.as_of() - F.make_dt_interval(secs=F.col("age"))
+    )
+    claimed = recon.stuck_claim(frame, b.as_of(), 10, 30, 1500)
+    acted = {r["doc_id"]: (r["action"], r["next_state"], r["burns_attempt"]) for r in recon.sweep_actions(claimed).collect()}
+    assert acted == {
+        1: ("redrive", "text_pending", True), 2: ("fail", "failed", False), 3: ("redrive", "text_pending", False), 5: ("fail", "failed", False),
+    }
+    assert [r["doc_id"] for r in recon.stuck_claim(frame, b.as_of(), 2, 30, 1500).collect()] == [3, 2]
+
+
+def test_redrive_publishes_missing_shards_only(spark):
+    kind = "doc_id long, state string, shards_total int, has_text_layer boolean, page_count int, gcs_path string"
+    rows = [
+        (1, "text_running", 3, False, 12, "p1"), (2, "text_pending", 3, False, 12, "p2"), (3, "extract_running", 1, False, 1, "p3"), (4, "text_running", 1, True, 9, "p4"),
+        (5, "text_pending", 1, False, 2, "p5"), (6, "text_running", 1, False, 30, "p6"), (7, "review", 1, False, 1, "p7"),
+    ]
+    done = spark.createDataFrame([(1, 1), (1, 1)], "doc_id long, shard_idx int")
+    got = sorted((tuple(r) for r in recon.redrive(spark.createDataFrame(rows, kind), done, 4).collect()), key=repr)
+    assert got == sorted(
+        [
+            (1, "ocr.shard", 0, 0, 4, "gs://inbox/shards/1/0000.pdf"), (1, "ocr.shard", 2, 8, 12, "gs://inbox/shards/1/0002.pdf"),
+            (2, "ocr.split", None, None, None, "p2"), (3, "ocr.completed", None, None, None, None), (4, "text.embedded", None, None, None, "p4"),
+            (5, "ocr.shard", 0, 0, 2, "p5"), (6, "ocr.split", None, None, None, "p6"),
+        ],
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("rows, healthy", [([], True), ([("failed", 5)], False), ([("failed", 5), ("complete", 5)], True), ([("text_pending", 9999)], False), ([("complete", 9999)], True)])
+def test_liveness(spark, rows, healthy):
+    frame = spark.createDataFrame(rows, "state string, age int")
+    at = b.as_of() - F.make_dt_interval(secs=F.col("age"))
+    assert recon.liveness(frame.withColumn("state_updated_at", at).withColumn("created_at", at), b.as_of()).first()["healthy"] == healthy
+
+
+def test_prune_sweeps_undated_rows_below_the_mark(spark):
+    rows = [(1, 90, None), (2, None, None), (3, 60, 61), (4, None, None), (5, 1, 1)]
+    frame = spark.createDataFrame(rows, "id long, s int, e int")
+    for name, age in (("started_at", "s"), ("ended_at", "e")):
+        frame = frame.withColumn(name, b.as_of() - F.make_dt_interval(days=F.col(age)))
+    assert sorted(r["id"] for r in recon.prune(frame, b.as_of(), 30).collect()) == [4, 5]
+    assert recon.prune(frame.where("id > 4"), b.as_of(), 30).count() == 1 and recon.prune(frame.limit(0), b.as_of(), 30).count() == 0
+
+
+def test_bulk_redrive_and_overrides(spark):
+    frame = spark.range(10).select(F.col("id").alias("doc_id"), F.lit("review").alias("state"))
+    assert {(r["matched"], r["allowed"]) for r in recon.bulk_redrive(frame, "doc_id >= 0", 5).collect()} == {(10, False)}
+    assert {r["allowed"] for r in recon.bulk_redrive(frame, "doc_id >= 0", 5, approved=True).collect()} == {True}
+    with pytest.raises(Exception):
+        recon.bulk_redrive(frame, "1 = 1; DROP TABLE x").collect()
+    with pytest.raises(ValueError):
+        recon.accept_review(frame, "me", "  ")
+
+
+def test_funnel(spark):
+    calls = [
+        (1, 0, 1, "ok"), (2, 0, 1, "refusal"), (2, 1, 1, "ok"), (3, 0, 1, "context_overflow"), (3, 1, 1, "unparseable"), (3, 1, 2, "ok"),
+        (4, 0, 1, "transient"), (4, 0, 2, "schema_invalid"), (4, 0, 3, "transient"), (4, 0, 4, "ok"), (4, 1, 1, "transient"), (4, 1, 2, "ok"),
+        (5, 0, 1, "ok"), (5, 1, 1, "ok"), (6, 0, 1, "ok"), (6, 1, 1, "context_overflow"),
+    ]
+    blocked = [(5, 0, True), (5, 1, False), (6, 0, True)]
+    got = funnel.run_funnel(spark.createDataFrame(calls, "doc_id long, tier int, call int, kind string"), spark.createDataFrame(blocked, "doc_id long, tier int, is_blocked boolean"))
+    assert {r["doc_id"]: (r["outcome"], r["tier_used"], r["repairs"], r["retries"]) for r in got.collect()} == {
+        1: ("complete", "cheap", 0, 0), 2: ("review:refusal", None, 0, 0), 3: ("complete", "strong", 1, 0), 4: ("complete", "strong", 1, 3),
+        5: ("complete", "strong", 0, 0), 6: ("review:gates_exhausted", None, 0, 0),
+    }
+
+
+def test_unique_commit_lets_unnamed_rows_pass(spark):
+    rows = [(1, "a", 1), (2, "a", 1), (3, None, 1), (4, None, 1), (5, "a", None), (6, "b", 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, vendor string, number long")
+    got = ledger.unique_commit(frame, ["vendor", "number"], [F.col("doc_id")]).where("commit_outcome <> 'complete'").collect()
+    assert [r["doc_id"] for r in got] == [2]
