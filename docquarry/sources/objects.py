@@ -6,27 +6,34 @@ store that Spark reaches will do.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_objects(spark: SparkSession, prefix: str, pattern: str = "*") -> DataFrame:
-    """``path``, ``size`` and ``modified`` of the objects below ``prefix``; the
-    bytes are pruned away, so listing reads none.  A scan skips empty objects,
-    so these are added from the scan's own file index (which the driver holds
-    in any case), with size 0 and no time."""
+def _with_empty(spark: SparkSession, prefix: str, pattern: str, listed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``listed`` of a scan, and a row for each empty object, which a scan skips.
+    These come from the scan's file index, which the driver holds in any case."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(prefix)
-    listed = found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
     bare = lambda c: F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
     known = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string")
-    empty = known.join(listed.select(bare(F.col("path")).alias("_p")), bare(F.col("path")) == F.col("_p"), "left_anti")
-    return listed.unionByName(empty.select("path", F.lit(0).cast("long").alias("size"), F.lit(None).cast("timestamp").alias("modified")))
+    empty = known.join(found.select(bare(F.col("path")).alias("_p")), bare(F.col("path")) == F.col("_p"), "left_anti").select(
+        "path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")
+    )
+    return listed(found).unionByName(listed(empty))
+
+
+def list_objects(spark: SparkSession, prefix: str, pattern: str = "*") -> DataFrame:
+    """``path``, ``size`` and ``modified`` (null for empty objects) of what is
+    below ``prefix``; the bytes are pruned away, so listing reads none."""
+    return _with_empty(spark, prefix, pattern, lambda f: f.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")))
 
 
 def read_objects(spark: SparkSession, prefix: str, pattern: str = "*") -> DataFrame:
     """Also ``content`` and ``content_id``, the identity of the bytes."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(prefix)
-    return found.select("path", F.col("length").alias("size"), "content", F.sha2("content", 256).alias("content_id"))
+    identity = F.sha2("content", 256).alias("content_id")
+    return _with_empty(spark, prefix, pattern, lambda f: f.select("path", F.col("length").alias("size"), "content", identity))
 
 
 def stream_objects(spark: SparkSession, prefix: str, pattern: str = "*", per_batch: int = 1000) -> DataFrame:
