@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import table, text_of
+from docquarry.llm.common import table, text_of, written
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -69,9 +69,10 @@ def mix_sources(
     A row per input row: repeated rows are separate documents that draw the
     same number.  A null text counts as empty (size 0), a null source is a
     source of its own, a null doc_id draws by its text.  Other columns of
-    ``docs`` may have any names.  The targets are joined by a null-safe key;
-    nothing is broadcast by hand, and a source that holds much of the rows
-    stays splittable, since only a projection follows the join.
+    ``docs`` may have any names.  The targets are written and joined by a
+    null-safe key; Spark sends them to all tasks if their file is below its
+    limit and deals both sides by source otherwise, where a source that holds
+    much of the rows can be split, since only a projection follows.
     """
     mixed = _mix(docs.select(*dict.fromkeys((*keep, "doc_id", "text", "source"))), weights, max_rate, seed)
     return mixed.select(*keep, *[F.col(f"_dq_{c}").alias(c) for c in ("size", "source_size", "target", "copies")])
@@ -84,7 +85,8 @@ def _mix(docs: DataFrame, weights: tuple[int, ...], max_rate: int, seed: str) ->
     unit = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), drawn)), 1, 12), 16, 10).cast("double") / float(1 << 48)
     size = F.regexp_count(text, F.lit(WORD)).cast("long")
     sized = docs.select("*", F.col("source").alias("_dq_source"), size.alias("_dq_size"), unit.alias("_dq_unit"))
-    per_source = source_targets(docs.select("source", size.alias("size")), weights, max_rate)
+    # written, so that its true size decides whether documents are dealt by source at all
+    per_source = written(source_targets(docs.select("source", size.alias("size")), weights, max_rate), "mix-targets")
     targets = per_source.select(
         F.col("source").alias("_dq_named"), F.col("source_size").alias("_dq_source_size"), F.col("target").alias("_dq_target")
     )
