@@ -219,7 +219,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text leaks an item, columns unchanged."""
-    leaked = find_leaks(docs, benchmark).select(F.col("text_key").alias("_dq_leaked")).distinct()
+    leaked = written(find_leaks(docs, benchmark).select(F.col("text_key").alias("_dq_leaked")).distinct(), "decon-leaked")
     return docs.join(leaked, F.md5(text_of()) == F.col("_dq_leaked"), "left_anti")
 
 

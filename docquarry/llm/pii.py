@@ -206,11 +206,12 @@ def find_personal(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rounds:
     if not packed.any():
         return scanned.select(*keep, base.alias(into))
     known = _bootstrap(edges, _pattern_totals(docs, packed).join(patterns, "pattern", "left_semi"), rounds)
-    gained = (
+    gained = written(
         edges.where("kind = 4")
         .join(known, "instance", "left_semi")
         .groupBy("_dq_row")
-        .agg(F.collect_list(F.struct("start", "kind", "end")).alias("_dq_gained"))
+        .agg(F.collect_list(F.struct("start", "kind", "end")).alias("_dq_gained")),
+        "pii-gained",
     )
     nothing = F.array().cast(_SPANS)
     return scanned.join(gained, "_dq_row", "left").select(
