@@ -36,6 +36,9 @@ UNITS = frozenset(
     "ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks "
     "month months year years percent dollar dollars cent cents euro euros pound pounds mph kmh hz w kw v j kj".split()
 )
+#: Tokens of documents that are worked on together.
+TOGETHER = 50_000
+_DIGIT, _PLAIN = re.compile(r"[\d_]"), re.compile(r"\w+")
 _TOKEN = re.compile(r"[^\W\d_]+|[$€£]?[0-9]+(?:[.,][0-9]+)*%?")
 _WORD, _NAME, _NUMBER, _UNIT = 0, 1, 2, 3
 _NUM_HASH, _UNIT_HASH, _NAME_HASH = (xxhash.xxh64_intdigest(x) for x in ("\x00number", "\x00unit", "\x00name"))
@@ -84,29 +87,45 @@ class _Tokens(dict):
         return self.hashes[places], self.kinds[places]
 
 
-def templates(text: str, known: _Tokens) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
-    """The tokens, and per template the hashes and whether each is a placeholder."""
-    tokens = _TOKEN.findall(text)
-    if not tokens:
-        return tokens, []
+def tokens_of(text: str) -> list[str]:
+    """Words and numbers.  Without digits the quicker expression finds the same."""
+    return (_TOKEN if _DIGIT.search(text) else _PLAIN).findall(text)
+
+
+def window_hashes(tokens: list[str], starts: np.ndarray, known: _Tokens, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per template: hashes of the windows that have enough words, where they
+    start, and which tokens are placeholders.
+
+    ``tokens`` are those of several texts one after another, beginning at
+    ``starts``; windows do not cross texts.  Of the second template only windows
+    with a name count, the others are those of the first.
+    """
     literal, kind = known.of(tokens)
     slot = kind == _NUMBER
-    unit = (kind == _UNIT) & np.concatenate([[False], slot[:-1]])
+    after = np.concatenate([[False], slot[:-1]])
+    after[starts[starts < len(tokens)]] = False
+    unit = (kind == _UNIT) & after
     literal[unit] = _UNIT_HASH
     slot |= unit
     name = kind == _NAME
-    return tokens, [(literal, slot), (np.where(name, np.uint64(_NAME_HASH), literal), slot | name)]
-
-
-def window_hashes(hashes: np.ndarray, placeholder: np.ndarray, width: int, template: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows that have enough words, and where they start."""
-    found = windows(hashes, width)
-    if not len(found):
-        return found, np.empty(0, np.int64)
-    sums = np.concatenate([[0], np.cumsum(~placeholder)])
-    at = np.flatnonzero(sums[width:] - sums[: len(found)] >= min(LITERALS, (width + 1) // 2))
-    salt = xxhash.xxh64_intdigest(f"{width}:{template}")
-    return found[at] ^ np.uint64(salt), at
+    ends = np.append(starts[1:], len(tokens))
+    room = np.repeat(ends, ends - starts) - np.arange(len(tokens)) >= width
+    salt = np.uint64(xxhash.xxh64_intdigest(str(width)))
+    least = min(LITERALS, (width + 1) // 2)
+    for hashes, placeholder, named in ((literal, slot, None), (np.where(name, np.uint64(_NAME_HASH), literal), slot | name, name & ~unit)):
+        found = windows(hashes, width)
+        n = len(found)
+        sums = np.concatenate([[0], np.cumsum(~placeholder)])
+        fits = room[:n] & (sums[width : width + n] - sums[:n] >= least)
+        if named is not None:
+            names = np.concatenate([[0], np.cumsum(named)])
+            fits &= names[width : width + n] > names[:n]
+        at = np.flatnonzero(fits)
+        yield found[at] ^ salt, at, placeholder
+
+
+def _slots(tokens: list[str], placeholder: np.ndarray, at: int, width: int) -> list[str]:
+    return [tokens[at + k].lower() for k in np.flatnonzero(placeholder[at : at + width])]
 
 
 def _item_windows(benchmark: DataFrame) -> DataFrame:
@@ -119,15 +138,13 @@ def _item_windows(benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for item, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                tokens, both = templates(text, known)
+                tokens = tokens_of(text)
                 width = min(WIDTH, len(tokens))
                 if width < SHORTEST:
                     continue
-                for t, (hashes, placeholder) in enumerate(both):
-                    found, at = window_hashes(hashes, placeholder, width, t)
+                for found, at, placeholder in window_hashes(tokens, np.zeros(1, np.int64), known, width):
                     for h, p in zip(signed(found).tolist(), at.tolist(), strict=True):
-                        slots = [tokens[p + k].lower() for k in range(width) if placeholder[p + k]]
-                        rows.append((item, key, len(tokens), p, width, h, slots))
+                        rows.append((item, key, len(tokens), p, width, h, _slots(tokens, placeholder, p, width)))
             if rows:
                 kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays(
@@ -141,31 +158,45 @@ def _item_windows(benchmark: DataFrame) -> DataFrame:
 
 def _doc_windows(docs: DataFrame, packed: np.ndarray, widths: list[int]) -> DataFrame:
     """``doc_id``, ``text_key``, ``h`` and ``doc_slots`` of the windows that pass
-    the filter, the first of each hash in a document."""
+    the filter, the first of each hash in a document.  Documents are worked on
+    together until they have TOGETHER tokens."""
     schema = "doc_id long, text_key string, h long, doc_slots array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Tokens()
-        for batch in batches:
-            rows = []
-            for n in range(batch.num_rows):
-                tokens, both = templates(batch.column(2)[n].as_py(), known)
-                for t, (hashes, placeholder) in enumerate(both):
-                    for width in widths:
-                        found, at = window_hashes(hashes, placeholder, width, t)
-                        hit = np.flatnonzero(in_filter(packed, found))
-                        if not len(hit):
-                            continue
-                        values, first = np.unique(found[hit], return_index=True)
-                        doc, key = batch.column(0)[n].as_py(), batch.column(1)[n].as_py()
-                        for h, p in zip(signed(values).tolist(), at[hit[first]].tolist(), strict=True):
-                            rows.append((doc, key, h, [tokens[p + k].lower() for k in range(width) if placeholder[p + k]]))
+
+        def hits(tokens: list[str], starts: list[int], heads: list[tuple]) -> Iterator[pa.RecordBatch]:
+            begins, rows = np.array(starts), []
+            for width in widths:
+                for found, at, placeholder in window_hashes(tokens, begins, known, width):
+                    hit = np.flatnonzero(in_filter(packed, found))
+                    owner, value, place = np.searchsorted(begins, at[hit], side="right") - 1, found[hit], at[hit]
+                    order = np.lexsort((place, value, owner))
+                    owner, value, place = owner[order], value[order], place[order]
+                    first = np.ones(len(order), bool)
+                    first[1:] = (np.diff(owner) != 0) | (value[1:] != value[:-1])
+                    for o, h, p in zip(owner[first].tolist(), signed(value[first]).tolist(), place[first].tolist(), strict=True):
+                        rows.append((*heads[o], h, _slots(tokens, placeholder, p, width)))
             if rows:
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "text_key", "h", "doc_slots"]
                 )
 
+        for batch in batches:
+            tokens, starts, heads = [], [], []
+            for doc, key, text in zip(*(batch.column(k) for k in range(3)), strict=True):
+                found = tokens_of(text.as_py())
+                if found:
+                    starts.append(len(tokens))
+                    heads.append((doc.as_py(), key.as_py()))
+                    tokens += found
+                if len(tokens) >= TOGETHER:
+                    yield from hits(tokens, starts, heads)
+                    tokens, starts, heads = [], [], []
+            if tokens:
+                yield from hits(tokens, starts, heads)
+
     text = text_of()
     return docs.select(F.col("doc_id").cast("long"), F.md5(text), text).mapInArrow(run, schema)
 
