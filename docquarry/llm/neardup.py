@@ -50,22 +50,23 @@ def shingles(text: str, hashes: WordHashes) -> np.ndarray:
 
 def _family(count: int = BANDS * ROWS) -> tuple[np.ndarray, np.ndarray]:
     seeds = mix(np.arange(1, 2 * count + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return seeds[:count, None], mix(seeds[count:, None]) | np.uint64(1)
+    return seeds[:count, None].astype(np.uint32), (mix(seeds[count:, None]) | np.uint64(1)).astype(np.uint32)
 
 
 _XOR, _TIMES = _family()
 
 
 def minhash(found: np.ndarray, block: int = 4096) -> np.ndarray:
-    """BANDS * ROWS least hashes of a set."""
-    least = np.full(len(_XOR), np.iinfo(np.uint64).max, np.uint64)
+    """BANDS * ROWS least hashes of a set, of 32 bits; verification uses all 64."""
+    folded = (found ^ (found >> np.uint64(32))).astype(np.uint32)
+    least = np.full(len(_XOR), np.iinfo(np.uint32).max, np.uint32)
     for at in range(0, len(found), block):
-        np.minimum(least, ((found[None, at : at + block] ^ _XOR) * _TIMES).min(axis=1), out=least)
+        np.minimum(least, ((folded[None, at : at + block] ^ _XOR) * _TIMES).min(axis=1), out=least)
     return least
 
 
 def band_hashes(signature: np.ndarray) -> np.ndarray:
-    rows = signature.reshape(BANDS, ROWS)
+    rows = signature.reshape(BANDS, ROWS).astype(np.uint64)
     total = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
         total = mix(total * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
