@@ -41,7 +41,7 @@ REACH, GRAM = 256, 8
 #: Strings of a part in the second round.
 PART = 32
 #: Bytes worked on at a time; below 2 ** 24.
-PIECE = 1 << 21
+PIECE = 1 << 20
 _MASK = np.uint64((1 << 24) - 1)
 
 _ROWS = "key binary, anchor int, first int, last int, core long, name binary, id long"
@@ -137,7 +137,7 @@ def _samples(docs: DataFrame) -> DataFrame:
             rows = []
             for row in triples(held):
                 rows.append(row)
-                if len(rows) >= 50_000:
+                if len(rows) >= 20_000:
                     yield _batch(rows)
                     rows = []
             if rows:
@@ -229,7 +229,7 @@ def _named(texts: DataFrame, make: Callable[[bytes, memoryview, dict], Iterator[
                 key, view = batch.column(0)[k].as_py(), memoryview(batch.column(1)[k].as_py())
                 for row in batch.column(2)[k].as_py():
                     rows.extend(make(key, view, row))
-                    if len(rows) >= 50_000:
+                    if len(rows) >= 20_000:
                         yield _batch(rows)
                         rows = []
         if rows:
