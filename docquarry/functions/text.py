@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,21 +22,28 @@ LINE_ITEM = r"Line Item:\s*([^\n]+?)\s*\|\s*(\$?-?[\d,]+\.\d{2})"
 ALLOWED_TYPES = ("application/pdf", "image/jpeg", "image/png", "image/tiff")
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it occurs there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def contains_ignoring_case(text: Column, part: Column) -> Column:
     return F.contains(F.lower(text), F.lower(part))
 
 
 def found(text: Column, pattern: str, group: int = 1) -> Column:
     """The group of the first match, null where there is none."""
-    return F.nullif(F.trim(F.regexp_extract(text, pattern, group)), F.lit(""))
+    return bind(F.trim(F.regexp_extract(text, pattern, group)), lambda x: F.when(x != "", x))
 
 
 def cents(money: Column) -> Column:
     """Cents of an amount such as ``$1,234.50``, ``-3.00`` or ``(3.00)``."""
-    bare = F.trim(F.regexp_replace(F.trim(money), r"^\$+", ""))
-    amount = F.regexp_replace(bare, r"[()\-,]", "").try_cast("decimal(20,2)")
-    whole = (amount * 100).cast("long")
-    return F.when(bare.startswith("(") | bare.startswith("-"), -whole).otherwise(whole)
+
+    def signed(bare: Column) -> Column:
+        whole = (F.regexp_replace(bare, r"[()\-,]", "").try_cast("decimal(20,2)") * 100).cast("long")
+        return whole * F.when(bare.startswith("(") | bare.startswith("-"), -1).otherwise(1)
+
+    return bind(F.trim(F.regexp_replace(F.trim(money), r"^\$+", "")), signed)
 
 
 def labelled_cents(text: Column, label: str) -> Column:
@@ -73,11 +82,10 @@ def fields(text: Column) -> Column:
     """The typed record read from a text by its labels."""
     named = {k: found(text, p) for k, p in FIELD_PATTERNS.items()}
     money = {k: labelled_cents(text, label) for k, label in MONEY_LABELS.items()}
-    items = line_items(text)
     return F.struct(
         doc_type(text).alias("doc_type"),
         *[c.alias(k) for k, c in (named | money).items()],
-        F.when(F.size(items) > 0, items).alias("line_items"),
+        bind(line_items(text), lambda items: F.when(F.size(items) > 0, items)).alias("line_items"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquarry.functions.states import TRANSITIONS
+from docquarry.functions.states import IN_FLIGHT, TRANSITIONS
 
 
 def first_per_key(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -35,10 +35,10 @@ def unique_commit(rows: DataFrame, unique: list[str], order: list[Column]) -> Da
     given = F.lit(True)
     for c in unique:
         given = given & F.col(c).isNotNull()
-    rank = F.row_number().over(Window.partitionBy(*unique).orderBy(*order))
-    named = rows.where(given).withColumn("commit_outcome", F.when(rank > 1, "review:duplicate").otherwise("complete"))
-    # rows without a full key compete with nobody and are not brought together
-    return named.unionByName(rows.where(~given).withColumn("commit_outcome", F.lit("complete")))
+    # rows without a full key compete with nobody: a hash spreads them instead of bringing them together
+    alone = F.when(~given, F.xxhash64(*[F.col(c) for c in rows.columns]))
+    rank = F.row_number().over(Window.partitionBy(*unique, alone).orderBy(*order))
+    return rows.withColumn("commit_outcome", F.when(given & (rank > 1), "review:duplicate").otherwise("complete"))
 
 
 def last_values(events: DataFrame, key: str, order: str, values: list[str]) -> DataFrame:
@@ -56,17 +56,26 @@ def attempts_since_reset(events: DataFrame, key: str, order: str, kind: str, att
     return events.select(key).distinct().join(counted, key, "left").select(key, F.coalesce("attempts", F.lit(0)).cast("long").alias("attempts"))
 
 
-def transition_fold(requests: DataFrame, key: str, order: str, target: str, initial: str = "text_pending") -> DataFrame:
+def transition_fold(
+    requests: DataFrame, key: str, order: str, target: str, initial: str = "text_pending", snapshot: DataFrame | None = None
+) -> DataFrame:
     """Folds transition requests in order: ``key``, ``state``, ``accepted``,
     ``rejected``, ``last_order`` (of the last accepted; a repeated state counts).
 
-    Per key the requests are gathered and folded by one expression.  A key's
-    requests must fit a task; with a snapshot to start from (``initial`` per
-    key) only those since then are gathered.
+    Per key the requests are gathered and folded by one expression, so a key's
+    requests must fit a task.  ``snapshot``, an earlier result, bounds them: the
+    fold starts from it and ``requests`` are only those since.
     """
     gathered = requests.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(target).alias("t")))).alias("r"))
+    none = F.lit(None).cast("long")
+    if snapshot is None:
+        gathered = gathered.select("*", F.lit(None).cast("string").alias("_s"), none.alias("_a"), none.alias("_j"), none.alias("_l"))
+    else:
+        before = snapshot.select(key, F.col("state").alias("_s"), F.col("accepted").alias("_a"), F.col("rejected").alias("_j"), F.col("last_order").alias("_l"))
+        gathered = gathered.join(before, key, "full").withColumn("r", F.coalesce("r", F.array().cast(gathered.schema["r"].dataType)))
+    zero = F.lit(0).cast("long")
     start = F.struct(
-        F.lit(initial).alias("state"), F.lit(0).cast("long").alias("accepted"), F.lit(0).cast("long").alias("rejected"), F.lit(None).cast("long").alias("last_order")
+        F.coalesce("_s", F.lit(initial)).alias("state"), F.coalesce("_a", zero).alias("accepted"), F.coalesce("_j", zero).alias("rejected"), F.col("_l").alias("last_order")
     )
 
     def legal(state: Column, to: Column) -> Column:
@@ -92,3 +101,10 @@ def divergence(attempts: DataFrame, key: list[str], order: list[Column], result:
     ranked = winner_order(attempts, key, order)
     committed = ranked.where("won").select(*key, F.col(result).alias("committed"))
     return ranked.where("NOT won").join(committed, key).where(F.col(result).isNull() | (F.col(result) != F.col("committed")))
+
+
+def write_snapshot(folded: DataFrame, folder: str) -> None:
+    """Store a fold, work in flight apart from the rest, so that scans for stuck
+    or running documents read only their part."""
+    marked = folded.withColumn("in_flight", F.col("state").isin(*IN_FLIGHT))
+    marked.write.mode("overwrite").partitionBy("in_flight").parquet(folder)

@@ -79,7 +79,8 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adds ``record``: what the extractor reads, as its scenario distorts it."""
-    plain = rendered(spark, sf_dir).withColumn("record", text.fields(F.col("source_text")))
+    # a generator of one row: what follows refers to the record instead of repeating its expressions
+    plain = rendered(spark, sf_dir).select("*", F.explode_outer(F.array(text.fields(F.col("source_text")))).alias("record"))
     record, bucket = F.col("record"), F.col("bucket")
     total = (
         F.when(bucket == 0, F.lit(1).cast("long"))
@@ -135,16 +136,16 @@ def routed(spark: SparkSession, sf_dir: str, auto_post: bool = True) -> DataFram
         .when(gates.blocked({k: F.col(k) for k in GATES}), "review:gates_exhausted")
         .when(F.lit(not auto_post), "review:kill_switch")
     )
-    told = judged.select("doc_id", F.col("record.seller").alias("seller"), F.col("record.invoice_no").alias("number"), early.alias("early"))
     # only documents that would complete compete for their vendor and number
-    running = F.col("early").isNull()
-    keyed = told.select(
-        "doc_id", "early", F.when(running, F.col("seller")).alias("seller"), F.when(running, F.col("number")).alias("number"),
-    )
-    done = unique_commit(keyed.where(running), ["seller", "number"], [F.col("doc_id")])
-    return keyed.where(~running).select("doc_id", F.col("early").alias("outcome")).unionByName(
-        done.select("doc_id", F.col("commit_outcome").alias("outcome"))
+    running = early.isNull()
+    keyed = judged.select(
+        "doc_id",
+        early.alias("early"),
+        F.when(running, F.col("record.seller")).alias("seller"),
+        F.when(running, F.col("record.invoice_no")).alias("number"),
     )
+    done = unique_commit(keyed, ["seller", "number"], [F.col("doc_id")])
+    return done.select("doc_id", F.coalesce("early", "commit_outcome").alias("outcome"))
 
 
 #: Outcomes by the columns alone.
