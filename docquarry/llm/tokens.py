@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from docquarry.llm.common import shared_dir, table, text_of, written
 
 #: A tiktoken rank file, its splitting pattern, and the identifier after it.
-RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SEPARATOR = 50256
 BLOCK_TOKENS = 1 << 20
