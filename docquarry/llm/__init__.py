@@ -1,6 +1,5 @@
 """Training-data operators; nothing outside this package imports them.
 
-Modules are loaded on first use, so importing one operator does not import the
-others.  ``queries`` and ``oracle_sql`` are the registry that
-``__spark_entry__`` reads.
+``queries`` is the registry that ``__spark_entry__`` reads; importing one operator
+does not import the others.
 """
