@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docquarry.functions.text import contains_ignoring_case, money_renderings, page_range
+from docquarry.functions.text import bind, contains_ignoring_case, money_renderings, page_range
 
 # Which gates block, and what an inconclusive one does.
 BLOCKING = ("grounding", "arithmetic", "business_dedupe")
@@ -55,25 +55,27 @@ def arithmetic(kind: Column, record: Column) -> Column:
 def iban_remainder(iban: Column) -> Column:
     """Remainder by 97 of the rearranged number, letter by letter; null where a
     character is no letter or digit."""
-    clean = F.upper(F.regexp_replace(iban, " ", ""))
-    turned = F.concat(F.substring(clean, 5, 1_000_000), F.substring(clean, 1, 4))
-    codes = F.transform(
-        F.filter(F.split(turned, ""), lambda c: c != ""),
-        lambda c: F.when(c.rlike("^[0-9]$"), F.ascii(c) - 48).when(c.rlike("^[A-Z]$"), F.ascii(c) - 55),
-    )
-    return F.when(
-        F.length(clean) > 0, F.aggregate(codes, F.lit(0), lambda a, v: ((a * F.when(v > 9, 100).otherwise(10) + v) % 97).cast("int"))
-    )
+
+    def folded(clean: Column) -> Column:
+        turned = F.concat(F.substring(clean, 5, 1_000_000), F.substring(clean, 1, 4))
+        # ASCII digits and upper-case letters stand for 0 .. 35, anything else for null
+        codes = F.transform(F.split(turned, ""), lambda c: F.ascii(c))
+        value = lambda a: F.when(a.between(48, 57), a - 48).when(a.between(65, 90), a - 55)
+        step = lambda a, v: ((a * F.when(v > 64, 100).otherwise(10) + value(v)) % 97).cast("int")
+        return F.when(F.length(clean) > 0, F.aggregate(codes, F.lit(0), step))
+
+    return bind(F.upper(F.replace(iban, F.lit(" "), F.lit(""))), folded)
 
 
 def iban_mod97(record: Column) -> Column:
-    iban, left = record["iban"], iban_remainder(record["iban"])
-    return (
-        F.when(F.coalesce(F.length(iban), F.lit(0)) == 0, result("not_applicable"))
-        .when(left.isNull(), result("fail", F.lit("malformed_iban")))
+    given = F.coalesce(F.length(record["iban"]), F.lit(0)) > 0
+    judged = bind(
+        iban_remainder(record["iban"]),
+        lambda left: F.when(left.isNull(), result("fail", F.lit("malformed_iban")))
         .when(left == 1, result("pass"))
-        .otherwise(result("fail", F.lit("checksum_mismatch")))
+        .otherwise(result("fail", F.lit("checksum_mismatch"))),
     )
+    return F.when(given, judged).otherwise(result("not_applicable"))
 
 
 def iso_date(text: Column) -> Column:

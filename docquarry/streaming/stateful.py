@@ -26,24 +26,24 @@ def _ordered(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
 
 
 class ScatterGather(StatefulProcessor):
-    """Counts distinct shards; the one that reaches the total emits a row."""
+    """Counts distinct shards; the one that reaches the total emits a row.  The
+    shards of a document are one value, read and written once a batch."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.shards = handle.getMapState("shards", "shard_idx int", "seen boolean")
-        self.done = handle.getValueState("done", "n long")
+        self.seen = handle.getValueState("seen", "shards array<int>")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        state = self.done.get()
-        done = int(state[0]) if state is not None else 0
-        won = []
-        for shard, total in _ordered(rows, ["shard_idx"])[["shard_idx", "shards_total"]].itertuples(index=False):
-            if self.shards.containsKey((int(shard),)):
-                continue
-            self.shards.updateValue((int(shard),), (True,))
-            done += 1
-            if done == int(total):
-                won.append(done)
-        self.done.update((done,))
+        stored = self.seen.get()
+        seen = set(stored[0]) if stored is not None else set()
+        before, won = len(seen), []
+        for part in rows:
+            for shard, total in zip(part["shard_idx"].tolist(), part["shards_total"].tolist(), strict=True):
+                if shard not in seen:
+                    seen.add(shard)
+                    if len(seen) == total:
+                        won.append(total)
+        if len(seen) > before:
+            self.seen.update((sorted(seen),))
         if won:
             yield pd.DataFrame({"doc_id": [key[0]], "shards_done": won[:1]})
 
