@@ -85,17 +85,21 @@ def iso_date(text: Column) -> Column:
 def plausibility(kind: Column, record: Column, ceiling: int = CEILING_CENTS) -> Column:
     total, issue, due = record["total_cents"], record["invoice_date"], record["due_date"]
     size = F.when(kind.eqNullSafe(F.lit("credit_memo")), F.abs(total)).otherwise(total)
-    first, last = iso_date(issue), iso_date(due)
     both = (F.length(issue) > 0) & (F.length(due) > 0)
-    reasons = F.array_compact(
-        F.array(
-            F.when(total.isNull(), F.lit("total_missing")).when((size <= 0) | (size > ceiling), F.lit("total_out_of_range")),
-            F.when(both & (first.isNull() | last.isNull()), F.lit("unparseable_dates")).when(
-                both & ((last < first) | (last > F.date_add(first, 365))), F.lit("due_date_out_of_range")
-            ),
+
+    def in_order(dates: Column) -> Column:
+        first, last = dates["first"], dates["last"]
+        return F.when(first.isNull() | last.isNull(), F.lit("unparseable_dates")).when(
+            (last < first) | (last > F.date_add(first, 365)), F.lit("due_date_out_of_range")
         )
+
+    reasons = F.array(
+        F.when(total.isNull(), F.lit("total_missing")).when((size <= 0) | (size > ceiling), F.lit("total_out_of_range")),
+        F.when(both, bind(F.struct(iso_date(issue).alias("first"), iso_date(due).alias("last")), in_order)),
+    )
+    return bind(
+        F.array_compact(reasons), lambda r: F.when(F.size(r) > 0, result("fail", F.array_join(r, ","))).otherwise(result("pass"))
     )
-    return F.when(F.size(reasons) > 0, result("fail", F.array_join(reasons, ","))).otherwise(result("pass"))
 
 
 def completeness(pages: Column, count: Column) -> Column:
