@@ -314,8 +314,9 @@ def remove_repeats(docs: DataFrame, of_rest: Callable[[Column], Column] = lambda
     """
     data = text_of().cast("binary")
     keyed = docs.select("doc_id", F.octet_length(data).cast("long").alias("n_bytes"), of_rest(data).alias("own"), F.unhex(F.md5(data)).alias("key"))
-    copies = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("key").alias("_copied"))
-    changed = _changed_texts(docs).select("_key", "spans", of_rest(F.col("kept")).alias("kept"))
+    # both written, so that the joins are dealt anew and a text of very many rows can be split
+    copies = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("key").alias("_copied")), "rep-copies")
+    changed = written(_changed_texts(docs).select("_key", "spans", of_rest(F.col("kept")).alias("kept")), "rep-changed")
     size = F.col("n_bytes")
     whole = F.col("_copied").isNotNull() & (size >= LENGTH)
     everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("end")))
