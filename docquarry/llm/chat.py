@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import table
+from docquarry.llm.common import in_arrow, table
 
 #: Strings that steer a model; inside texts they are escaped.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]")
@@ -502,7 +502,7 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
         if ids:
             yield batch()
 
-    return ordered.mapInArrow(run, _SCHEMA)
+    return ordered.transform(in_arrow(run, _SCHEMA))
 
 
 #: Contract case: control strings in a text must come back unchanged.

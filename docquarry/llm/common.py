@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,25 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
+#: Rows of text handed to Python at a time, at most.
+ARROW_ROWS = 1000
+
+
+def in_arrow(run: Callable, schema: str | StructType) -> Callable[[DataFrame], DataFrame]:
+    """``mapInArrow`` for ``DataFrame.transform``, over batches of ARROW_ROWS rows
+    or what the session sets below that: texts are long, and a batch is held
+    several times over between Spark and Python.  The setting stays lowered, as
+    plans run later than they are made."""
+
+    def apply(frame: DataFrame) -> DataFrame:
+        key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", frame.sparkSession.conf
+        if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+            conf.set(key, str(ARROW_ROWS))
+        return frame.mapInArrow(run, schema)
+
+    return apply
+
+
 def written(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``frame`` as Parquet in the shared folder and read it back.
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import table, text_of, written
+from docquarry.llm.common import in_arrow, table, text_of, written
 from docquarry.llm.hashing import WORDS_KEPT, bit_filter, in_filter, signed, windows
 
 WIDTH = 8
@@ -153,7 +153,7 @@ def _item_windows(benchmark: DataFrame) -> DataFrame:
                 )
 
     text = text_of()
-    return benchmark.select(F.col("item_id").cast("long"), F.md5(text), text).mapInArrow(run, schema)
+    return benchmark.select(F.col("item_id").cast("long"), F.md5(text), text).transform(in_arrow(run, schema))
 
 
 def _doc_windows(docs: DataFrame, packed: np.ndarray, widths: list[int]) -> DataFrame:
@@ -198,7 +198,7 @@ def _doc_windows(docs: DataFrame, packed: np.ndarray, widths: list[int]) -> Data
                 yield from hits(tokens, starts, heads)
 
     text = text_of()
-    return docs.select(F.col("doc_id").cast("long"), F.md5(text), text).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.md5(text), text).transform(in_arrow(run, schema))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

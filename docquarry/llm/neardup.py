@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import table, text_of, written
+from docquarry.llm.common import in_arrow, table, text_of, written
 from docquarry.llm.graph import components
 from docquarry.llm.hashing import WordHashes, bit_filter, in_filter, mix, signed, windows
 
@@ -173,7 +173,7 @@ def _band_table(docs: DataFrame) -> DataFrame:
                 offsets = pa.array(np.arange(0, len(values) + 1, BANDS, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(offsets, values)], ["key", "bands"])
 
-    return written(docs.select(text_of()).mapInArrow(run, "key binary, bands array<long>").dropDuplicates(["key"]), "near-bands")
+    return written(docs.select(text_of()).transform(in_arrow(run, "key binary, bands array<long>")).dropDuplicates(["key"]), "near-bands")
 
 
 def _star_edges(bands: DataFrame) -> DataFrame:
@@ -219,7 +219,7 @@ def _shingle_table(docs: DataFrame, groups: DataFrame) -> DataFrame:
             if keys:
                 yield out()
 
-    found = docs.select(text_of()).mapInArrow(run, "key binary, shingles array<long>")
+    found = docs.select(text_of()).transform(in_arrow(run, "key binary, shingles array<long>"))
     joined = found.join(groups.withColumnRenamed("node", "key"), "key").dropDuplicates(["key"])
     return written(joined.select("component", "key", "copies", "shingles"), "near-shingles")
 
@@ -287,7 +287,7 @@ def _block_links(sets: DataFrame) -> DataFrame:
         if current is not None and len(members) > 1:
             yield from out(list(solve(current, members)))
 
-    return written(ordered.mapInArrow(run, "key binary, links long, root binary"), "near-links")
+    return written(ordered.transform(in_arrow(run, "key binary, links long, root binary")), "near-links")
 
 
 def similar_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import table, text_of, written
+from docquarry.llm.common import in_arrow, table, text_of, written
 from docquarry.llm.hashing import WordHashes, bit_filter, in_filter, signed, windows
 
 KINDS = ("email", "ip", "card", "phone", "context")
@@ -141,7 +141,7 @@ def _scan(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
                 [*batch.columns[:-1], pa.array(spans, span_type), pa.array(edges, edge_type)], [*order[:-1], "_dq_base", "_dq_edges"]
             )
 
-    return source.select(*order).mapInArrow(run, schema)
+    return source.select(*order).transform(in_arrow(run, schema))
 
 
 def _pattern_totals(docs: DataFrame, packed: np.ndarray) -> DataFrame:
@@ -158,7 +158,7 @@ def _pattern_totals(docs: DataFrame, packed: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(signed(values)), pa.array(counts.astype(np.int64))], ["pattern", "n"])
 
     return (
-        docs.select(text_of().alias("text")).mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("total"))
+        docs.select(text_of().alias("text")).transform(in_arrow(run, "pattern long, n long")).groupBy("pattern").agg(F.sum("n").alias("total"))
     )
 
 

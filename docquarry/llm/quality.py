@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import table, text_of
+from docquarry.llm.common import in_arrow, table, text_of
 
 WIDTH = 4
 FILTERS = 16
@@ -180,7 +180,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = TR
 
     ids = F.broadcast(chosen.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")))  # at most 2 * rows_per_class rows
     texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).join(ids, "doc_id").select("doc_id", "quality", "text")
-    found = texts.mapInArrow(cut, "doc_id long, quality int, chunks array<binary>").orderBy("doc_id", "chunks").limit(2 * rows_per_class).collect()
+    found = texts.transform(in_arrow(cut, "doc_id long, quality int, chunks array<binary>")).orderBy("doc_id", "chunks").limit(2 * rows_per_class).collect()
     return [([bytes(c) for c in r["chunks"]], r["quality"]) for r in found], prior
 
 
@@ -225,7 +225,7 @@ def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("do
             )
 
     where = arrow_columns.index("text") if "text" in columns else len(arrow_columns)
-    return docs.select(*columns, *([] if "text" in columns else ["text"])).mapInArrow(run, schema)
+    return docs.select(*columns, *([] if "text" in columns else ["text"])).transform(in_arrow(run, schema))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import table, text_of, written
+from docquarry.llm.common import in_arrow, table, text_of, written
 from docquarry.llm.hashing import M1, bit_filter, in_filter, mix
 
 LENGTH = 400
@@ -164,7 +164,7 @@ def _samples(docs: DataFrame) -> DataFrame:
         if held:
             yield from out()
 
-    return docs.select(text_of()).mapInArrow(run, _ROWS)
+    return docs.select(text_of()).transform(in_arrow(run, _ROWS))
 
 
 def _settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -215,7 +215,7 @@ def _with_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(texts, pa.binary())], ["key", "data"])
 
-    found = docs.select(text_of()).mapInArrow(run, "key binary, data binary").dropDuplicates(["key"])
+    found = docs.select(text_of()).transform(in_arrow(run, "key binary, data binary")).dropDuplicates(["key"])
     others = [c for c in rows.columns if c != "key"]
     grouped = rows.groupBy("key").agg(F.collect_list(F.struct(*others)).alias("rows"))
     return found.join(grouped, "key")
@@ -235,7 +235,7 @@ def _named(texts: DataFrame, make: Callable[[bytes, memoryview, dict], Iterator[
         if rows:
             yield _batch(rows)
 
-    return texts.mapInArrow(run, _ROWS)
+    return texts.transform(in_arrow(run, _ROWS))
 
 
 def _parts_of(key: bytes, view: memoryview, row: dict) -> Iterator[tuple]:
@@ -300,7 +300,7 @@ def _changed_texts(docs: DataFrame) -> DataFrame:
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(spans, kind), pa.array(kept, pa.binary())], ["_key", "spans", "kept"])
 
-    return _with_texts(docs, repeated_starts(docs)).mapInArrow(cut, schema)
+    return _with_texts(docs, repeated_starts(docs)).transform(in_arrow(cut, schema))
 
 
 def remove_repeats(docs: DataFrame, of_rest: Callable[[Column], Column] = lambda data: data) -> DataFrame:

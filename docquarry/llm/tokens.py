@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import shared_dir, table, text_of, written
+from docquarry.llm.common import in_arrow, shared_dir, table, text_of, written
 
 #: A tiktoken rank file, its splitting pattern, and the identifier after it.
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -74,7 +74,7 @@ def write_token_files(docs: DataFrame, directory: str, ranks: str = RANKS, separ
         if out is not None:
             out.close()
 
-    return written(docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "file string, nth long, doc_id long"), "token-docs")
+    return written(docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).transform(in_arrow(run, "file string, nth long, doc_id long")), "token-docs")
 
 
 def scan_token_files(
@@ -115,7 +115,7 @@ def scan_token_files(
                     ["file", "at", "final", "tokens", "ends"],
                 )
 
-    summaries = written(blocks.mapInArrow(run, "file string, at long, final boolean, tokens long, ends array<long>"), "token-blocks")
+    summaries = written(blocks.transform(in_arrow(run, "file string, at long, final boolean, tokens long, ends array<long>")), "token-blocks")
     before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     stitched = (
         summaries.withColumn("n", F.size("ends"))
