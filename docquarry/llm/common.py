@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -36,17 +39,31 @@ def shared_dir(spark: SparkSession) -> str:
 ARROW_ROWS = 1000
 
 
+def _release() -> None:
+    """Give back what Python keeps between tasks; workers are used again."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def in_arrow(run: Callable, schema: str | StructType) -> Callable[[DataFrame], DataFrame]:
     """``mapInArrow`` for ``DataFrame.transform``, over batches of ARROW_ROWS rows
     or what the session sets below that: texts are long, and a batch is held
     several times over between Spark and Python.  The setting stays lowered, as
-    plans run later than they are made."""
+    plans run later than they are made.  A worker returns its memory at the end
+    of each task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _release()
 
     def apply(frame: DataFrame) -> DataFrame:
         key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", frame.sparkSession.conf
         if not 0 < int(conf.get(key)) <= ARROW_ROWS:
             conf.set(key, str(ARROW_ROWS))
-        return frame.mapInArrow(run, schema)
+        return frame.mapInArrow(task, schema)
 
     return apply
 
