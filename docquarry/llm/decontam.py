@@ -4,9 +4,10 @@ Texts become token sequences in which numbers, units and names are typed
 placeholders.  Windows of eight tokens are joined by hash with those of the
 benchmark.  Two templates are kept of each text: one that ignores case and
 leaves names as they are, and one in which capitalised words are names.  What
-filled the placeholders must be consistent: within a document and item, equal
-benchmark values must stand for equal document values.  So an item counts as
-leaked as it is, or with other parameters, but not where only the shape agrees.
+filled the placeholders must be consistent: within an occurrence of an item in a
+document, equal benchmark values must stand for equal document values.  So an
+item counts as leaked as it is, or with other parameters, but not where only the
+shape agrees.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import in_arrow, table, text_of, written
@@ -157,10 +158,10 @@ def _item_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def _doc_windows(docs: DataFrame, packed: np.ndarray, widths: list[int]) -> DataFrame:
-    """``doc_id``, ``text_key``, ``h`` and ``doc_slots`` of the windows that pass
-    the filter, the first of each hash in a document.  Documents are worked on
-    together until they have TOGETHER tokens."""
-    schema = "doc_id long, text_key string, h long, doc_slots array<string>"
+    """``doc_id``, ``text_key``, ``h``, ``place`` in the document, ``first`` (of its
+    hash in the document) and ``doc_slots`` of all windows that pass the filter.
+    Documents are worked on together until they have TOGETHER tokens."""
+    schema = "doc_id long, text_key string, h long, place int, first boolean, doc_slots array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Tokens()
@@ -175,12 +176,13 @@ def _doc_windows(docs: DataFrame, packed: np.ndarray, widths: list[int]) -> Data
                     owner, value, place = owner[order], value[order], place[order]
                     first = np.ones(len(order), bool)
                     first[1:] = (np.diff(owner) != 0) | (value[1:] != value[:-1])
-                    for o, h, p in zip(owner[first].tolist(), signed(value[first]).tolist(), place[first].tolist(), strict=True):
-                        rows.append((*heads[o], h, _slots(tokens, placeholder, p, width)))
+                    for o, h, p, f in zip(owner.tolist(), signed(value).tolist(), place.tolist(), first.tolist(), strict=True):
+                        rows.append((*heads[o], h, p - starts[o], f, _slots(tokens, placeholder, p, width)))
             if rows:
-                kinds = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string())]
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "text_key", "h", "doc_slots"]
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                    ["doc_id", "text_key", "h", "place", "first", "doc_slots"],
                 )
 
         for batch in batches:
@@ -209,7 +211,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     An item is leaked if windows of one document cover COVERED of its tokens, or
     all of them if it has fewer, either with the item's own values in the slots
     (then what else agrees in shape around them does not matter) or with other
-    values that are consistent over all windows.  Null texts count as
+    values that are consistent over all windows of an occurrence.  An occurrence
+    is what lies at one offset between document and item, what follows each
+    other in the document while positions in the item do not fall, or the first
+    window of each hash in the document; any one decides.  Null texts count as
     empty and match nothing, as do items of under SHORTEST tokens.  Repeated
     rows of a document or of an item give one row; documents with one id but
     different texts are told apart by ``text_key``, null ids likewise.
@@ -219,14 +224,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most WIDTH of them
     hits = written(_doc_windows(docs, packed, widths), "decon-hits")
     joined = hits.join(items, "h").select(
-        "doc_id", "text_key", "item_id", "item_key", "n_tokens", "pos", "width", F.arrays_zip("item_slots", "doc_slots").alias("slots")
+        "doc_id", "text_key", "item_id", "item_key", "n_tokens", "pos", "width", "place", "first", F.arrays_zip("item_slots", "doc_slots").alias("slots")
     )
     group = ["doc_id", "text_key", "item_id", "item_key", "n_tokens", "width"]
+    in_order = Window.partitionBy(*group).orderBy("place", "pos")
+    turned = joined.withColumn("turn", (F.col("pos") < F.lag("pos").over(in_order)).cast("int"))
+    ways = [F.lit(0), F.col("place") - F.col("pos"), F.coalesce(F.sum("turn").over(in_order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))]
+    seen = turned.withColumn("which", F.array(*[F.struct(F.lit(k).alias("way"), w.cast("long").alias("at")) for k, w in enumerate(ways)]))
+    seen = seen.withColumn("which", F.explode("which"))
     same = F.forall("slots", lambda p: p["item_slots"].eqNullSafe(p["doc_slots"]))
-    matched = joined.groupBy(*group).agg(
+    counts = F.col("first") | (F.col("which.way") > 0)
+    matched = seen.groupBy(*group, "which").agg(
         F.array_sort(F.collect_set("pos")).alias("at"),
         F.array_sort(F.collect_set(F.when(same, F.col("pos")))).alias("same_at"),
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(counts, F.col("slots"))))).alias("pairs"),
     )
     width = F.col("width")
 
@@ -237,12 +248,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     enough = F.least(F.lit(COVERED), F.col("n_tokens"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))) == F.size("pairs")
     told = matched.select("*", covered(F.col("same_at")).alias("as_is"), covered(F.col("at")).alias("in_shape"))
+    as_is = F.when(F.col("as_is") >= enough, F.col("as_is"))
     return (
-        told.where((F.col("as_is") >= enough) | ((F.col("in_shape") >= enough) & consistent))
+        told.where(as_is.isNotNull() | ((F.col("in_shape") >= enough) & consistent))
         .groupBy("doc_id", "text_key", "item_id")
         .agg(
-            F.when(F.max((F.col("as_is") >= enough).cast("int")) == 1, "exact").otherwise("reparameterised").alias("kind"),
-            F.max(F.when(F.col("as_is") >= enough, F.col("as_is")).otherwise(F.col("in_shape"))).alias("covered"),
+            F.when(F.max(as_is).isNotNull(), "exact").otherwise("reparameterised").alias("kind"),
+            F.coalesce(F.max(as_is), F.max("in_shape")).alias("covered"),
             F.max("n_tokens").alias("item_tokens"),
         )
     )

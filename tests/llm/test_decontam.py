@@ -76,3 +76,20 @@ def test_awkward_rows(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 2
     assert decontam.find_leaks(cases.empty(spark), bench).count() == 0
     assert decontam.drop_leaks(docs, bench.limit(0)).count() == docs.count()
+
+
+def leaks(spark, texts, *wanted):
+    """The kind by number of the text and of the item."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    bench = spark.createDataFrame(list(enumerate(wanted)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r["kind"] for r in decontam.find_leaks(docs, bench).collect()}
+
+
+def test_any_one_occurrence_decides(spark):
+    train = "A train travels {} km in {} hours and then another {} km in {} hours how far did it go in total"
+    item, variant, other = train.format(60, 2, 60, 3), train.format(80, 5, 90, 4), train.format(70, 5, 70, 6)
+    cut = " and then by the way ".join(other.split(" and then "))
+    texts = [f"{variant}. {item}", f"{item}. {variant}", f"{variant}. {other}", f"{other}. {variant}", f"{variant}. {cut}", variant, f"{variant}. {variant}"]
+    assert leaks(spark, texts, item) == {
+        (0, 0): "exact", (1, 0): "exact", (2, 0): "reparameterised", (3, 0): "reparameterised", (4, 0): "reparameterised",
+    }
