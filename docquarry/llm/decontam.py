@@ -3,7 +3,8 @@
 Texts become token sequences in which numbers, units and names are typed
 placeholders.  Windows of eight tokens are joined by hash with those of the
 benchmark.  Two templates are kept of each text: one that ignores case and
-leaves names as they are, and one in which capitalised words are names.  What
+leaves names as they are, and one in which capitalised words are names.  Windows
+with too few words for a template are compared as they are.  What
 filled the placeholders must be consistent: within an occurrence of an item in a
 document, equal benchmark values must stand for equal document values.  So an
 item counts as leaked as it is, or with other parameters, but not where only the
@@ -22,14 +23,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import in_arrow, table, text_of, written
-from docquarry.llm.hashing import WORDS_KEPT, bit_filter, in_filter, signed, windows
+from docquarry.llm.hashing import M1, WORDS_KEPT, bit_filter, in_filter, mix, signed, windows
 
 WIDTH = 8
 #: Items with fewer tokens are too short to tell.
 SHORTEST = 4
 #: Tokens of an item that must be covered, or all it has.
 COVERED = 13
-#: At least so many tokens of a window (half of a shorter one) are words.
+#: At least so many tokens of a window (half of a shorter one) are words; others
+#: count only as they are, with their numbers.
 LITERALS = 4
 # Unit words, which count as units after a number.
 UNITS = frozenset(
@@ -46,8 +48,8 @@ _NUM_HASH, _UNIT_HASH, _NAME_HASH = (xxhash.xxh64_intdigest(x) for x in ("\x00nu
 
 
 class _Tokens(dict):
-    """Token to its place in two columns: hash in lower case (of the placeholder
-    for numbers) and class.  Bounded."""
+    """Token to its place in three columns: hash in lower case (of the placeholder
+    for numbers), class, and hash in lower case of numbers too.  Bounded."""
 
     def __init__(self):
         super().__init__()
@@ -55,12 +57,12 @@ class _Tokens(dict):
 
     def _reset(self) -> None:
         self.clear()
-        self.hashes, self.kinds = np.empty(1024, np.uint64), np.empty(1024, np.int8)
-        self.filled, self.new_hashes, self.new_kinds = 0, [], []
+        self.hashes, self.kinds, self.raw = np.empty(1024, np.uint64), np.empty(1024, np.int8), np.empty(1024, np.uint64)
+        self.filled, self.new_hashes, self.new_kinds, self.new_raw = 0, [], [], []
 
     def __missing__(self, token: str) -> int:
         lower = token.lower()
-        value = xxhash.xxh64_intdigest(lower)
+        raw = value = xxhash.xxh64_intdigest(lower)
         if lower == token:
             kind = _WORD
             if not token[-1].isalpha():
@@ -71,21 +73,23 @@ class _Tokens(dict):
             kind = _UNIT if lower in UNITS else _NAME if token[1:] == lower[1:] else _WORD
         self.new_hashes.append(value)
         self.new_kinds.append(kind)
+        self.new_raw.append(raw)
         place = self[token] = len(self)
         return place
 
-    def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self) >= WORDS_KEPT:
             self._reset()
         places = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
         if self.new_hashes:
             end = self.filled + len(self.new_hashes)
             if end > len(self.hashes):
-                self.hashes, self.kinds = np.resize(self.hashes, 2 * end), np.resize(self.kinds, 2 * end)
+                self.hashes, self.kinds, self.raw = (np.resize(x, 2 * end) for x in (self.hashes, self.kinds, self.raw))
             self.hashes[self.filled : end] = np.array(self.new_hashes, np.uint64)
             self.kinds[self.filled : end] = self.new_kinds
-            self.filled, self.new_hashes, self.new_kinds = end, [], []
-        return self.hashes[places], self.kinds[places]
+            self.raw[self.filled : end] = np.array(self.new_raw, np.uint64)
+            self.filled, self.new_hashes, self.new_kinds, self.new_raw = end, [], [], []
+        return self.hashes[places], self.kinds[places], self.raw[places]
 
 
 def tokens_of(text: str) -> list[str]:
@@ -93,15 +97,16 @@ def tokens_of(text: str) -> list[str]:
     return (_TOKEN if _DIGIT.search(text) else _PLAIN).findall(text)
 
 
-def window_hashes(tokens: list[str], starts: np.ndarray, known: _Tokens, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def window_hashes(tokens: list[str], starts: np.ndarray, known: _Tokens, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
     """Per template: hashes of the windows that have enough words, where they
-    start, and which tokens are placeholders.
+    start, and which tokens are placeholders (None for the windows that are left
+    of the first, which are hashed as they are).
 
     ``tokens`` are those of several texts one after another, beginning at
     ``starts``; windows do not cross texts.  Of the second template only windows
     with a name count, the others are those of the first.
     """
-    literal, kind = known.of(tokens)
+    literal, kind, raw = known.of(tokens)
     slot = kind == _NUMBER
     after = np.concatenate([[False], slot[:-1]])
     after[starts[starts < len(tokens)]] = False
@@ -117,21 +122,31 @@ def window_hashes(tokens: list[str], starts: np.ndarray, known: _Tokens, width:
         found = windows(hashes, width)
         n = len(found)
         sums = np.concatenate([[0], np.cumsum(~placeholder)])
-        fits = room[:n] & (sums[width : width + n] - sums[:n] >= least)
-        if named is not None:
+        enough = sums[width : width + n] - sums[:n] >= least
+        fits = room[:n] & enough
+        if named is None:
+            few = np.flatnonzero(room[:n] & ~enough)
+            if len(few):
+                total = raw[few]
+                for k in range(1, width):
+                    total = total * M1 + raw[few + k]
+                yield mix(total) ^ ~salt, few, None
+        else:
             names = np.concatenate([[0], np.cumsum(named)])
             fits &= names[width : width + n] > names[:n]
         at = np.flatnonzero(fits)
         yield found[at] ^ salt, at, placeholder
 
 
-def _slots(tokens: list[str], placeholder: np.ndarray, at: int, width: int) -> list[str]:
-    return [tokens[at + k].lower() for k in np.flatnonzero(placeholder[at : at + width])]
+def _slots(tokens: list[str], placeholder: np.ndarray | None, at: int, width: int) -> list[str] | None:
+    """None for a window that is compared as it is."""
+    return None if placeholder is None else [tokens[at + k].lower() for k in np.flatnonzero(placeholder[at : at + width])]
 
 
 def _item_windows(benchmark: DataFrame) -> DataFrame:
     """``item_id``, ``item_key`` (of the text), ``n_tokens``, ``pos``, ``width``,
-    ``h`` and ``item_slots`` for all windows of all items."""
+    ``h`` and ``item_slots`` (null where compared as it is) for all windows of all
+    items."""
     schema = "item_id long, item_key string, n_tokens int, pos int, width int, h long, item_slots array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +226,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     An item is leaked if windows of one document cover COVERED of its tokens, or
     all of them if it has fewer, either with the item's own values in the slots
     (then what else agrees in shape around them does not matter) or with other
-    values that are consistent over all windows of an occurrence.  An occurrence
+    values that are consistent over all windows of an occurrence.  Windows of
+    mostly numbers count only as they are.  An occurrence
     is what lies at one offset between document and item, what follows each
     other in the document while positions in the item do not fall, or the first
     window of each hash in the document; any one decides.  Null texts count as
@@ -232,10 +248,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ways = [F.lit(0), F.col("place") - F.col("pos"), F.coalesce(F.sum("turn").over(in_order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))]
     seen = turned.withColumn("which", F.array(*[F.struct(F.lit(k).alias("way"), w.cast("long").alias("at")) for k, w in enumerate(ways)]))
     seen = seen.withColumn("which", F.explode("which"))
-    same = F.forall("slots", lambda p: p["item_slots"].eqNullSafe(p["doc_slots"]))
+    # Without slots (null) the window was compared as it is.
+    same = F.col("slots").isNull() | F.forall("slots", lambda p: p["item_slots"].eqNullSafe(p["doc_slots"]))
     counts = F.col("first") | (F.col("which.way") > 0)
     matched = seen.groupBy(*group, "which").agg(
-        F.array_sort(F.collect_set("pos")).alias("at"),
+        F.array_sort(F.collect_set(F.when(F.col("slots").isNotNull(), F.col("pos")))).alias("at"),
         F.array_sort(F.collect_set(F.when(same, F.col("pos")))).alias("same_at"),
         F.array_distinct(F.flatten(F.collect_set(F.when(counts, F.col("slots"))))).alias("pairs"),
     )

@@ -93,3 +93,10 @@ def test_any_one_occurrence_decides(spark):
     assert leaks(spark, texts, item) == {
         (0, 0): "exact", (1, 0): "exact", (2, 0): "reparameterised", (3, 0): "reparameterised", (4, 0): "reparameterised",
     }
+
+
+def test_number_heavy_items_as_they_are(spark):
+    sums = ["What is 3 + 4 + 5 + 6 + 7 + 8 + 9 + 10 + 11", "Compute 12 * 7 - 30 / 5 + 18 - 4 * 9 = 48", "12 34 56 78"]
+    edge = "1 2 3 4 5 6 7 and so the sum of all is even"
+    texts = [*sums, f"so: {sums[0].upper()} ?", f"{sums[1]}\n{sums[2]}", edge, sums[0].replace("11", "12"), sums[1].replace("7", "8"), "12 34 56 79"]
+    assert leaks(spark, texts, *sums, edge) == {(0, 0): "exact", (1, 1): "exact", (2, 2): "exact", (3, 0): "exact", (4, 1): "exact", (4, 2): "exact", (5, 3): "exact"}
