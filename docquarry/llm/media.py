@@ -179,13 +179,34 @@ def tensors_to_ipc(values: np.ndarray, times: list[tuple[int, int]]) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def tensors_from_ipc(stream: bytes) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The tensors and time spans of such a stream."""
+    found = pa.ipc.open_stream(stream).read_next_batch()
+    times = zip(found["start_ms"].to_pylist(), found["end_ms"].to_pylist(), strict=True)
+    return found["tensor"].to_numpy_ndarray(), list(times)
+
+
+def audio_row(text: str) -> tuple:
+    """What ``audio_columns`` has of a text, from ``n_bytes`` on.  The file and the
+    stream are made and read back, and the rest is of what was read."""
+    media = to_wav(payload_of(text))
+    payload, _ = from_wav(media)
+    values, times, frames = features(payload)
+    stream = tensors_to_ipc(values, times)
+    values, times = tensors_from_ipc(stream)
+    quiet = zlib.crc32(np.round(values * 8).astype("<i2").tobytes())
+    told = f"frames={frames};segments={len(times)};span_ms={sum(b - a for a, b in times)};mel={quiet:08x}"
+    read = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), told)
+    return (len(text.encode()), media, stream, *read)
+
+
 def audio_columns(docs: DataFrame, with_media: bool = True) -> DataFrame:
     """Per input row: ``doc_id``, ``n_bytes`` (of the text), ``media`` (the WAV
     file), ``segments`` (an Arrow stream of fixed-shape tensors with time spans)
     and what was read back: ``payload_bytes``, ``payload_sha256``,
     ``tail_crc32``, ``media_bytes``, ``media_sha256`` and ``feature``.
 
-    ``with_media`` False leaves out the two large columns.  Null texts count as
+    ``with_media`` False makes the two large columns but does not return them.  Null texts count as
     empty and give one unit of padding.  Each text is worked on by itself, so
     equal texts give equal values; memory follows the longest text, of which
     spectra are held a block at a time.
@@ -198,15 +219,8 @@ def audio_columns(docs: DataFrame, with_media: bool = True) -> DataFrame:
     names = [part.split()[0] for part in schema.split(", ")]
 
     def row(text: str) -> tuple:
-        media = to_wav(payload_of(text))
-        payload, _ = from_wav(media)
-        values, times, frames = features(payload)
-        quiet = zlib.crc32(np.round(values * 8).astype("<i2").tobytes())
-        told = f"frames={frames};segments={len(times)};span_ms={sum(b - a for a, b in times)};mel={quiet:08x}"
-        out = (len(text.encode()),)
-        if with_media:
-            out += (media, tensors_to_ipc(values, times))
-        return out + (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), told)
+        n_bytes, media, stream, *read = audio_row(text)
+        return (n_bytes, media, stream, *read) if with_media else (n_bytes, *read)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[part.split()[1]] for part in schema.split(", ")]

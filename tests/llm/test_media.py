@@ -66,3 +66,18 @@ def test_columns(spark):
         assert batch.schema.field("tensor").type.shape == [media.ROWS, media.MELS]
         assert all(a < b for a, b in zip(batch["start_ms"].to_pylist(), batch["end_ms"].to_pylist(), strict=True))
     assert media.audio_columns(cases.empty(spark)).count() == 0
+
+
+def test_feature_is_of_the_stored_tensors(monkeypatch):
+    stored, plain = [], media.audio_row("some text " * 900)
+
+    def other(values, times, store=media.tensors_to_ipc):
+        stored.append(store(values + 1, times[:1] * len(times)))
+        return stored[-1]
+
+    values, times, _ = media.features(media.payload_of("some text " * 900))
+    got, spans = media.tensors_from_ipc(media.tensors_to_ipc(values, times))
+    assert np.array_equal(got, values) and got.dtype == np.float32 and spans == times
+    monkeypatch.setattr(media, "tensors_to_ipc", other)
+    changed = media.audio_row("some text " * 900)
+    assert changed[2] == stored[0] and changed[-1] != plain[-1] and changed[3:-1] == plain[3:-1]
