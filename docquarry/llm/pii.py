@@ -5,7 +5,8 @@ The two words before an entity are a lexical pattern.  Spark keeps the graph of
 patterns and instances and scores it in rounds: a pattern is trusted if several
 different known instances follow it and most of all its occurrences in the
 corpus are followed by known ones; an unknown token that looks like an
-identifier becomes known if trusted patterns make it likely enough.
+identifier becomes known if trusted patterns make it likely enough.  Rounds end
+when one gains nothing.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ KINDS = ("email", "ip", "card", "phone", "context")
 MIN_INSTANCES = 3
 MIN_PRECISION = 0.5
 MIN_CONFIDENCE = 0.5
-ROUNDS = 3
+#: Rounds after which a longer chain counts as an error rather than going on.
+ROUNDS = 60
 
 # A match can start only where a digit run starts, since an earlier start in the
 # run would match too; the lookbehind keeps long runs linear.
@@ -79,11 +81,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def context_of(text: str, start: int) -> str | None:
-    """The two words before ``start``, in lower case; None if there are not two."""
-    left = max(0, start - 80)
-    words = [m for m in _WORD.finditer(text, left, start) if m.start() > left or left == 0]
-    return f"{words[-2][0]} {words[-1][0]}".lower() if len(words) > 1 else None
+def contexts_of(text: str, starts: list[int]) -> list[str | None]:
+    """Per start the two words before it, however far, in lower case; None if
+    there are not two."""
+    words = np.fromiter((x for m in _WORD.finditer(text) for x in m.span()), np.int64).reshape(-1, 2)
+    out = []
+    for start, k in zip(starts, np.searchsorted(words[:, 0], starts).tolist(), strict=True):
+        if k < 2:
+            out.append(None)
+            continue
+        (a, b), (c, d) = words[k - 2 : k].tolist()
+        out.append(f"{text[a:b]} {text[c : min(d, start)]}".lower())
+    return out
 
 
 def graph_edges(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, str]]:
@@ -102,8 +111,7 @@ def graph_edges(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
             if k == 0 or reach[k - 1] <= a:
                 spots.append((a, 4, b))
     edges = []
-    for a, kind, b in spots:
-        context = context_of(text, a)
+    for (a, kind, b), context in zip(spots, contexts_of(text, [a for a, _, _ in spots]) if spots else [], strict=True):
         if context:
             edges.append((a, kind, b, text[a:b].lower(), context))
     return edges
@@ -163,13 +171,15 @@ def _pattern_totals(docs: DataFrame, packed: np.ndarray) -> DataFrame:
 
 
 def _bootstrap(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFrame:
-    """The instances that become known in ``rounds`` rounds.  Counts are over
-    (pattern, instance) edges, so hot patterns are aggregated before they meet."""
+    """The instances that become known until a round gains none, which is an error
+    if ``rounds`` rounds are not enough.  What is known stays known, so a round
+    that leaves their number leaves all.  Counts are over (pattern, instance)
+    edges, so hot patterns are aggregated before they meet."""
     graph = written(
         edges.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("kind") < 4).cast("int")).alias("seed")).join(totals, "pattern"),
         "pii-graph",
     )
-    known = None
+    known, many = None, 0
     for _ in range(rounds):
         marked = graph if known is None else graph.join(known.withColumn("found", F.lit(1)), "instance", "left")
         is_known = F.col("seed") == 1 if known is None else (F.col("seed") == 1) | F.col("found").isNotNull()
@@ -186,8 +196,11 @@ def _bootstrap(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFrame:
             .where(F.col("confidence") >= MIN_CONFIDENCE)
             .select("instance")
         )
-        known = written(gained, "pii-known")
-    return known
+        known, before = written(gained, "pii-known"), many
+        many = known.count()
+        if many == before:
+            return known
+    raise RuntimeError(f"patterns and instances did not settle in {rounds} rounds")
 
 
 def find_personal(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rounds: int = ROUNDS, into: str = "found") -> DataFrame:
