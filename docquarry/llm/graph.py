@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import written
@@ -41,3 +41,19 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("node", "component")
         labels = labels.select("node", "component")
     raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
+
+
+def star_components(stars: DataFrame) -> DataFrame:
+    """``node`` and ``component`` for all nodes of ``stars``, whose rows tie a
+    ``node`` to a ``center``; a center must have a row as a node, too.
+
+    Before anything is joined, each node falls to its least center, and only the
+    different pairs of a least and another center go on: many nodes that share
+    their centers become a few edges.  Rows with a null change nothing.
+    """
+    given = stars.select("node", "center").where("node IS NOT NULL AND center IS NOT NULL")
+    fallen = written(given.withColumn("least", F.min("center").over(Window.partitionBy("node"))).distinct(), "graph-fallen")
+    found = components(fallen.where("least <> center").select(F.col("least").alias("a"), F.col("center").alias("b")).distinct())
+    ends = found.select(F.col("node").alias("at"), F.col("component").alias("end"))
+    labels = fallen.select("node", "least").distinct()
+    return labels.join(ends, labels["least"] == ends["at"], "left").select("node", F.coalesce("end", "least").alias("component"))

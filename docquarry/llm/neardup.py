@@ -2,11 +2,13 @@
 
 Texts are sets of five-word shingles.  MinHash bands tie a text to the least
 text of each of its buckets, so candidates form components without any bucket
-being expanded into pairs.  A component is worked on in blocks: all pairs of two
-blocks are compared by their MinHash values a few at a time, a pair is dropped
-once the posterior probability that its similarity reaches the threshold falls
-below a tolerance, and the pairs left are verified exactly on their shingles.
-Only counts of links and a spanning forest leave a block.
+being expanded into pairs.  A component, or each bucket of one that hangs
+together by chains only, is worked on in blocks: all pairs of two blocks are
+compared by their MinHash values a few at a time, a pair is dropped once the
+posterior probability that its similarity reaches the threshold falls below a
+tolerance, and the pairs left are verified exactly on their shingles.  A pair
+counts if it shares a band, and once.  Only counts of links and a spanning
+forest leave a block.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import in_arrow, table, text_of, written
-from docquarry.llm.graph import components
+from docquarry.llm.graph import star_components
 from docquarry.llm.hashing import WordHashes, bit_filter, in_filter, mix, signed, windows
 
 SHINGLE = 5
@@ -31,7 +33,7 @@ TOP, BOTTOM = 4, 5
 BANDS, ROWS = 40, 6
 STEP = 24
 TOLERANCE = 1e-9
-BLOCK_DOCS = 256
+BLOCK_DOCS = 512
 BLOCK_SHINGLES = 400_000
 #: Texts of one task remembered as already emitted; more are emitted again.
 KEYS_KEPT = 50_000
@@ -91,11 +93,18 @@ def least_matches(threshold: float = TOP / BOTTOM, tolerance: float = TOLERANCE,
 _NEEDED = least_matches()
 
 
-def linked_pairs(left: list[np.ndarray], right: list[np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+def linked_pairs(
+    left: list[np.ndarray], right: list[np.ndarray] | None, first: np.ndarray | None = None, second: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Positions of all pairs, one of each side (or both of ``left``), whose
-    similarity reaches the threshold."""
-    first = np.stack([minhash(x) for x in left])
-    second = first if right is None else np.stack([minhash(x) for x in right])
+    similarity reaches the threshold.  ``first`` and ``second`` are the MinHash
+    values of the sides, worked out here if they are not given."""
+    if first is None:
+        first = np.stack([minhash(x) for x in left])
+    if right is None:
+        second = first
+    elif second is None:
+        second = np.stack([minhash(x) for x in right])
     others = left if right is None else right
     a, b = np.triu_indices(len(left), 1) if right is None else (x.ravel() for x in np.indices((len(left), len(right))))
     sizes_a = np.array([len(x) for x in left])
@@ -176,18 +185,41 @@ def _band_table(docs: DataFrame) -> DataFrame:
     return written(docs.select(text_of()).transform(in_arrow(run, "key binary, bands array<long>")).dropDuplicates(["key"]), "near-bands")
 
 
-def _star_edges(bands: DataFrame) -> DataFrame:
-    """An edge from each text of a bucket to the least text in it."""
+def _stars(bands: DataFrame) -> DataFrame:
+    """``key``, ``bucket``, ``center`` (the least text in it) and ``size`` for each
+    bucket of several texts and each text in it, the center too."""
     flat = bands.select("key", F.explode("bands").alias("bucket"))
     shared = written(
-        flat.groupBy("bucket").agg(F.min("key").alias("center"), F.max("key").alias("other")).where("center <> other").drop("other"), "near-buckets"
+        flat.groupBy("bucket")
+        .agg(F.min("key").alias("center"), F.max("key").alias("other"), F.count(F.lit(1)).alias("size"))
+        .where("center <> other")
+        .drop("other"),
+        "near-buckets",
     )
-    return flat.join(shared, "bucket").where("key <> center").select(F.col("key").alias("a"), F.col("center").alias("b")).distinct()
+    return written(flat.join(shared, "bucket").select("key", "bucket", "center", "size"), "near-stars")
+
+
+def _units(stars: DataFrame, components: DataFrame) -> DataFrame:
+    """``unit`` and ``key``: what has to be compared with each other.
+
+    A component whose texts mostly share buckets is one unit, which compares each
+    pair once.  Where a component hangs together by chains, so that its buckets
+    have fewer pairs than all its texts, each bucket is a unit.  Either way the
+    pairs that share a bucket are found, and no others.
+    """
+    weight = stars.groupBy("key").agg(F.sum("size").alias("pairs"))
+    sized = weight.join(components, weight["key"] == components["node"])
+    many = sized.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("pairs").alias("pairs"))
+    how = written(many.select(F.col("component").alias("of"), (2 * F.col("pairs") < F.col("n") * F.col("n")).alias("chained")), "near-how")
+    placed = components.join(how, components["component"] == how["of"])
+    whole = placed.where("NOT chained").select(F.col("component").alias("unit"), F.col("node").alias("key"))
+    chained = stars.join(placed.where("chained").select("node"), stars["key"] == F.col("node"), "left_semi")
+    return whole.unionByName(chained.select(F.unhex(F.lpad(F.hex("bucket"), 16, "0")).alias("unit"), "key"))
 
 
 def _shingle_table(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """``component``, ``key``, ``copies`` and ``shingles`` of the texts in
-    ``groups`` (``node``, ``component``, ``copies``)."""
+    """``key``, ``copies``, ``values`` (MinHash) and ``shingles`` of the texts in
+    ``groups`` (``node``, ``copies``)."""
     head = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
     packed = bit_filter(groups.select(head.alias("h")), "h")
 
@@ -198,8 +230,9 @@ def _shingle_table(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
             def out() -> pa.RecordBatch:
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
-                values = pa.array(signed(np.concatenate(sets)))
-                return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(offsets, values)], ["key", "shingles"])
+                lists = pa.ListArray.from_arrays(offsets, pa.array(signed(np.concatenate(sets))))
+                values = [minhash(s).tobytes() for s in sets]
+                return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(values, pa.binary()), lists], ["key", "values", "shingles"])
 
             for text in batch.column(0):
                 text = text.as_py()
@@ -219,42 +252,56 @@ def _shingle_table(docs: DataFrame, groups: DataFrame) -> DataFrame:
             if keys:
                 yield out()
 
-    found = docs.select(text_of()).transform(in_arrow(run, "key binary, shingles array<long>"))
-    joined = found.join(groups.withColumnRenamed("node", "key"), "key").dropDuplicates(["key"])
-    return written(joined.select("component", "key", "copies", "shingles"), "near-shingles")
+    found = docs.select(text_of()).transform(in_arrow(run, "key binary, values binary, shingles array<long>"))
+    joined = found.join(groups.select(F.col("node").alias("key"), "copies"), "key").dropDuplicates(["key"])
+    return written(joined.select("key", "copies", "values", "shingles"), "near-shingles")
 
 
-def _block_links(sets: DataFrame) -> DataFrame:
+def _block_links(sets: DataFrame, units: DataFrame) -> DataFrame:
     """``key``, ``links`` (documents of other texts it is similar to) and
     ``root`` (a text it hangs together with), per text and pair of blocks."""
-    sized = sets.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("shingles")).alias("s"))
-    blocks = sized.select(
-        "component", F.ceil(F.greatest(F.col("n") / BLOCK_DOCS, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    )
+    members = written(units.join(sets.select("key", F.size("shingles").alias("s")), "key"), "near-members")
+    sized = members.groupBy("unit").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("s")).where("n > 1")
+    blocks = sized.select("unit", F.ceil(F.greatest(F.col("n") / BLOCK_DOCS, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     dealt = (
-        sets.join(blocks, "component")
+        members.join(blocks, "unit")
         .withColumn("own", own)
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("component", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "key", "copies", "shingles")
+        .select("unit", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "key")
+        .join(sets, "key")
+        .select("unit", "i", "j", "own", "key", "copies", "values", "shingles")
     )
-    ordered = dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+    ordered = dealt.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
 
     def solve(group: tuple, members: list[tuple]) -> Iterator[tuple[bytes, int, bytes]]:
-        _, i, j = group
+        unit, i, j = group
         if i == j:
             kept = members
-            a, b = linked_pairs([m[3] for m in kept], None)
         else:
-            left = [m for m in members if m[0] == i]
-            right = [m for m in members if m[0] == j]
-            if not left or not right:
+            kept = [m for m in members if m[0] == i]
+            middle = len(kept)
+            kept += [m for m in members if m[0] == j]
+            if not 0 < middle < len(kept):
                 return
-            kept = left + right
-            a, b = linked_pairs([m[3] for m in left], [m[3] for m in right])
-            b = b + len(left)
+        values = np.stack([np.frombuffer(m[3], np.uint32) for m in kept])
+        if i == j:
+            a, b = linked_pairs([m[4] for m in kept], None, values)
+        else:
+            a, b = linked_pairs([m[4] for m in kept[:middle]], [m[4] for m in kept[middle:]], values[:middle], values[middle:])
+            b = b + middle
         if not len(a):
             return
+        bands = np.stack([band_hashes(v) for v in values])
+        counts = np.empty(len(a), bool)
+        for at in range(0, len(a), 65_536):
+            one, two = a[at : at + 65_536], b[at : at + 65_536]
+            shared = bands[one] == bands[two]
+            first = shared.argmax(axis=1)
+            # a bucket counts the pairs whose first shared bucket it is
+            wanted = shared.any(axis=1) if len(unit) > 8 else bands[one, first] == np.uint64(int.from_bytes(unit, "big"))
+            counts[at : at + 65_536] = wanted & shared[np.arange(len(one)), first]
+        a, b = a[counts], b[counts]
         copies = np.array([m[2] for m in kept])
         links = np.zeros(len(kept), np.int64)
         np.add.at(links, a, copies[b])
@@ -274,16 +321,16 @@ def _block_links(sets: DataFrame) -> DataFrame:
                 )
 
         for batch in batches:
-            heads = list(zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True))
-            lists = batch.column(6)
+            heads = list(zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True))
+            lists = batch.column(7)
             offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-            for k, (component, i, j, own, key, copies) in enumerate(heads):
-                group = (component, i, j)
+            for k, (unit, i, j, own, key, copies, least) in enumerate(heads):
+                group = (unit, i, j)
                 if group != current:
                     if current is not None and len(members) > 1:
                         yield from out(list(solve(current, members)))
                     current, members = group, []
-                members.append((own, key, copies, values[offsets[k] : offsets[k + 1]].copy()))
+                members.append((own, key, copies, least, values[offsets[k] : offsets[k + 1]].copy()))
         if current is not None and len(members) > 1:
             yield from out(list(solve(current, members)))
 
@@ -294,10 +341,11 @@ def similar_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``classes`` (``key``, ``class_key``) of the texts that have a similar
     other text, and ``links`` (``key``, ``links``)."""
     counted = docs.groupBy(F.unhex(F.md5(text_of())).alias("node")).agg(F.count(F.lit(1)).alias("copies"))
-    candidates = components(_star_edges(_band_table(docs)))
-    groups = written(candidates.join(counted, "node"), "near-groups")
-    links = _block_links(_shingle_table(docs, groups))
-    classes = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
+    stars = _stars(_band_table(docs))
+    components = written(star_components(stars.select(F.col("key").alias("node"), "center")), "near-components")
+    groups = written(components.join(counted, "node").select("node", "copies"), "near-groups")
+    links = _block_links(_shingle_table(docs, groups), _units(stars, components))
+    classes = star_components(links.select(F.col("key").alias("node"), F.col("root").alias("center")))
     return (
         classes.select(F.col("node").alias("key"), F.col("component").alias("class_key")),
         links.groupBy("key").agg(F.sum("links").alias("links")),

@@ -132,3 +132,23 @@ def test_components(spark, edges):
             if a is not None and b is not None:
                 wanted[a] = wanted[b] = min(wanted[a], wanted[b])
     assert found == wanted
+
+
+def test_chains_are_compared_by_bucket(spark, monkeypatch):
+    words = cases.prose(random.Random(11), 400).split()
+    texts = [" ".join(words[6 * k : 6 * k + 100]) for k in range(45)]
+    rows = list(enumerate(texts + texts[:3]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    widths = []
+    inner = neardup._units
+    monkeypatch.setattr(neardup, "_units", lambda *a: (found := inner(*a), widths.extend(len(r["unit"]) for r in found.collect()))[0])
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in neardup.near_duplicates(docs).collect()}
+    assert got == classes(rows) and 8 in widths
+
+
+def test_one_very_long_text(spark):
+    rng = random.Random(12)
+    long = cases.prose(rng, 400_000)
+    rows = [(1, long), (2, long + " end"), (3, cases.prose(rng, 50))]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
