@@ -89,6 +89,11 @@ def fields(text: Column) -> Column:
     )
 
 
+def checksum_id(encoded: Column) -> Column:
+    """The identity of an object whose CRC-32C is given in base 64; null stays null."""
+    return F.concat(F.lit("crc32c-"), F.lower(F.hex(F.unbase64(encoded))))
+
+
 # ---- paths ------------------------------------------------------------------
 
 

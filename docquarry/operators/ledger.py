@@ -103,6 +103,23 @@ def divergence(attempts: DataFrame, key: list[str], order: list[Column], result:
     return ranked.where("NOT won").join(committed, key).where(F.col(result).isNull() | (F.col(result) != F.col("committed")))
 
 
+def append_attempts(log: DataFrame, attempts: DataFrame, order: list[str], spread: Column | None = None) -> DataFrame:
+    """``attempts`` with the ``id`` that each gets when appended to ``log``: on from
+    its greatest, without gaps, by ``spread`` (a hash of the order unless given)
+    and then ``order``, which must be total.
+
+    Ids are ranks within a spread plus what the spreads before it hold, so only a
+    row per spread is numbered in one task."""
+    part = F.pmod(F.xxhash64(*order), F.lit(256)) if spread is None else spread
+    dealt = attempts.withColumn("_part", part.cast("long"))
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(F.col("_part").alias("_at"), (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    start = log.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_start"))
+    ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    numbered = ranked.join(before, F.col("_part") == F.col("_at")).join(F.broadcast(start))  # one row
+    return numbered.select((F.col("_start") + F.col("_before") + F.col("_rank")).cast("long").alias("id"), *attempts.columns)
+
+
 def write_snapshot(folded: DataFrame, folder: str) -> None:
     """Store a fold, work in flight apart from the rest, so that scans for stuck
     or running documents read only their part."""

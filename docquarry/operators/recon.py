@@ -151,6 +151,23 @@ def drain_status(ledger: DataFrame) -> DataFrame:
     return counted.select("*", (F.col("settled") == F.col("total")).alias("drained"))
 
 
+def drain_watch(polls: DataFrame, by: list[str], quiet_seconds: int, target: int | None = None) -> DataFrame:
+    """Adds ``quiet`` (seconds since the total last changed) and ``drained`` to each
+    poll (``by``, ``at`` in seconds, ``total``, ``settled``), in order of ``at``.
+
+    A known ``target`` is stable at once; otherwise only a total that has not
+    changed for ``quiet_seconds``, two ingest cycles, is.  No documents at all
+    never count as drained."""
+    order = Window.partitionBy(*by).orderBy("at")
+    moved = F.col("total") != F.coalesce(F.lag("total").over(order), F.lit(-1))
+    since = F.max(F.when(F.col("_moved"), F.col("at"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    watched = polls.withColumn("_moved", moved).withColumn("quiet", F.col("at") - since)
+    stable = F.lit(target is not None) | (F.col("quiet") >= quiet_seconds)
+    wanted = F.col("total") if target is None else F.lit(target)
+    drained = (F.col("total") > 0) & (F.col("total") >= wanted) & stable & (F.col("settled") == F.col("total"))
+    return watched.withColumn("drained", drained).drop("_moved")
+
+
 def redrive_targets(ledger: DataFrame, assembled: DataFrame) -> DataFrame:
     """``doc_id``, ``state``, ``target`` and ``error`` of a forced redrive;
     ``assembled`` has the doc_ids whose text exists."""
@@ -165,12 +182,26 @@ def redrive_targets(ledger: DataFrame, assembled: DataFrame) -> DataFrame:
 
 
 def accept_review(ledger: DataFrame, actor: str, reason: str) -> DataFrame:
-    """The override of review: new state, stamped gate results, and the message."""
+    """The override of review: new state, stamped gate results, and the message.
+
+    ``gate_results``, a map of gate to struct of ``outcome`` and ``detail``, keeps
+    what the gates said and gains ``operator_override``; an earlier override is
+    replaced.  Without the column only the stamp is there."""
     if not reason or not reason.strip():
         raise ValueError("a reason is required")
     stamp = F.to_json(F.struct(F.lit(actor).alias("actor"), F.lit(reason).alias("reason"), F.lit("review").alias("was")))
+    override = F.create_map(F.lit("operator_override"), F.struct(F.lit("accepted").alias("outcome"), stamp.alias("detail")))
+    merged = override
+    if "gate_results" in ledger.columns:
+        kept = F.map_filter("gate_results", lambda k, _: k != "operator_override")
+        merged = F.when(F.col("gate_results").isNull(), override).otherwise(F.map_concat(kept, override))
     return ledger.where(F.col("state") == "review").select(
-        "doc_id", F.lit("complete").alias("state"), F.lit("document.extracted").alias("topic"), F.lit("accepted").alias("override"), stamp.alias("detail")
+        "doc_id",
+        F.lit("complete").alias("state"),
+        F.lit("document.extracted").alias("topic"),
+        F.lit("accepted").alias("override"),
+        stamp.alias("detail"),
+        merged.alias("gate_results"),
     )
 
 
@@ -194,14 +225,25 @@ def outbox_age(outbox: DataFrame, as_of: Column) -> DataFrame:
     return outbox.agg(F.timestamp_diff("SECOND", oldest, as_of).alias("age_seconds"))
 
 
-def watchdog(models: DataFrame, wanted: list[str]) -> DataFrame:
-    """One row: what to do about model placement.  ``models`` has ``name`` and
-    ``size_vram`` of what is loaded; no rows with ``reachable`` false is unknown."""
-    counted = models.agg(
+def watchdog(models: DataFrame, wanted: list[str], by: list[str] = (), cooldown_seconds: int = 0) -> DataFrame:
+    """What to do about model placement, a row for each poll in ``by`` (one row
+    without).  ``models`` has ``name`` and ``size_vram`` of what is loaded; rows
+    with ``reachable`` false mean that nothing is known, so wait.
+
+    Optional columns of a poll: ``since_restart``, seconds since the last
+    restart; within the cooldown nothing is restarted again.  ``dry_run``: a
+    restart is only told."""
+    given = lambda c, other: F.max(c) if c in models.columns else F.lit(other)
+    counted = models.groupBy(*by).agg(
         F.coalesce(F.bool_and("reachable"), F.lit(True)).alias("reachable"),
         F.array_sort(F.collect_set(F.when(F.col("size_vram") > 0, F.col("name")))).alias("on_gpu"),
         F.array_sort(F.collect_set(F.when(F.coalesce("size_vram", F.lit(0)) <= 0, F.col("name")))).alias("on_cpu"),
+        given("since_restart", None).cast("long").alias("since"),
+        F.coalesce(given("dry_run", False), F.lit(False)).alias("dry"),
     )
     missing = F.array_except(F.array(*[F.lit(w) for w in wanted]), F.col("on_gpu"))
-    action = F.when(~F.col("reachable"), "wait").when(F.size("on_cpu") > 0, "restart").when(F.size(missing) > 0, "pin").otherwise("nothing")
-    return counted.select(F.array_join("on_gpu", ",").alias("on_gpu"), F.array_join("on_cpu", ",").alias("on_cpu"), F.array_join(missing, ",").alias("missing"), action.alias("action"))
+    restart = F.when(F.col("dry"), "would_restart").when(F.col("since") < cooldown_seconds, "cooldown").otherwise("restart")
+    action = F.when(~F.col("reachable"), "wait").when(F.size("on_cpu") > 0, restart).when(F.size(missing) > 0, "pin").otherwise("nothing")
+    return counted.select(
+        *by, F.array_join("on_gpu", ",").alias("on_gpu"), F.array_join("on_cpu", ",").alias("on_cpu"), F.array_join(missing, ",").alias("missing"), action.alias("action")
+    )

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.functions import gates, states, text
+from docquarry.functions import gates, replies, states, text
+from docquarry.operators import finalise as ends
 from docquarry.operators import funnel, recon, shards
 from docquarry.operators import ledger as ops
 from docquarry.plans import bindings as b
@@ -170,14 +171,16 @@ def triage_metrics(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_TRIAGE_SQL}, hint AS (SELECT *, length(trim(substr(text, 1, 1200))) >= 5 AND regexp_matches(substr(text, 1, 1200), '[0-9]') AS layer FROM triaged WHERE result = 'dispatched'),
+    f"""WITH {_TRIAGE_SQL}, firsts AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS s FROM conversations WHERE turn < 3 GROUP BY 1),
+hint AS (SELECT t.*, coalesce(length(trim(s)) >= 5 AND regexp_matches(s, '[0-9]'), false) AS layer FROM triaged t LEFT JOIN firsts ON conv_id = doc_id WHERE result = 'dispatched'),
 t AS (SELECT *, CASE WHEN layer THEN 'text.embedded' WHEN page_count <= 4 THEN 'ocr.shard' ELSE 'ocr.split' END AS topic FROM hint)
 SELECT doc_id, topic, CASE WHEN topic = 'ocr.shard' THEN 0 END AS shard_idx, CASE WHEN topic = 'ocr.shard' THEN page_count END AS page_end, gcs_path AS path FROM t"""
 )
 def route_text_production(spark, sf_dir):
     from docquarry.plans.triage import dispatch
 
-    return dispatch(_triaged(spark, sf_dir), shard_size=4)
+    first_pages = shards.assemble(b.pages(spark, sf_dir).where("page_no < 3"), "doc_id", "page_no", "text")
+    return dispatch(_triaged(spark, sf_dir), first_pages.select("doc_id", F.col("source_text").alias("sample")), shard_size=4)
 
 
 @query(
@@ -266,15 +269,101 @@ def extract_line_items(spark, sf_dir):
     return items.select("doc_id", "i.description", "i.amount_cents")
 
 
+def _reply(doc_type="\"invoice\"", total="' || (o_orderkey * 7) || '", currency="\"USD\"", seller="\"v' || o_custkey || '\"", items="[{\"description\": \"a\", \"amount_cents\": 3}]") -> str:
+    return f"""'{{"doc_type": {doc_type}, "invoice_no": "INV-' || (o_orderkey % 500) || '", "currency": {currency}, "seller": {seller}, "total_cents": {total}, "line_items": {items}, "note": null}}'"""
+
+
+_BAD_ITEM = '[{"description": "a", "amount_cents": 3}, {"amount_cents": 4}, {"description": "b", "amount_cents": "x"}, 5]'
+#: What a model might reply, by order; one text for both engines.
+_REPLIES = [
+    f"'Sure:' || chr(10) || '```json' || chr(10) || {_reply()} || chr(10) || '```' || chr(10) || 'Is {{that}} all?'",
+    f"'Here it is: ' || {_reply(doc_type=chr(34) + 'credit_memo' + chr(34))} || ' as asked.'",
+    "'  '",
+    "'I cannot find any fields in document ' || o_orderkey || repeat(' and I am sorry', 60)",
+    "'{\"invoice_no\": \"A' || o_orderkey || '\", \"total_cents\": }'",
+    _reply(total="\"' || (o_orderkey * 7) || '\""),
+    _reply(total="' || o_orderkey || '.5"),
+    _reply(currency="null"),
+    _reply(doc_type='"letter"'),
+    _reply(items=_BAD_ITEM),
+    _reply(seller="' || o_custkey || '"),
+    _reply(total='"abc"', items='{"a": 1}'),
+    _reply(total="true", items="null"),
+    "'{}'",
+]
+_RAW = "CASE o_orderkey % 14 " + " ".join(f"WHEN {k} THEN {r}" for k, r in enumerate(_REPLIES)) + " END"
+
+
+def _replies(spark, sf_dir) -> DataFrame:
+    return b.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.expr(_RAW.replace("\\", "\\\\")).alias("raw"))
+
+
+_PARSED_SQL = f"""replies AS (SELECT o_orderkey AS doc_id, o_orderkey % 14 AS bucket, {_RAW} AS raw FROM orders),
+cut AS (SELECT *, regexp_extract(raw, '{replies.FENCED}', 1) AS fenced FROM replies),
+braced AS (SELECT *, regexp_extract(CASE WHEN fenced <> '' THEN fenced ELSE raw END, '{replies.BRACED}', 0) AS j FROM cut),
+parsed AS (SELECT doc_id, bucket, CASE WHEN trim(raw) = '' THEN 'refusal' WHEN j = '' OR NOT json_valid(j) THEN 'unparseable' ELSE 'ok' END AS kind,
+  CASE WHEN trim(raw) = '' THEN 'empty completion' WHEN j = '' THEN left(raw, 500) WHEN NOT json_valid(j) THEN 'invalid json: ' || left(raw, 500) END AS message,
+  CASE WHEN j <> '' AND json_valid(j) THEN j END AS json FROM braced)"""
+
+
+@query(f"WITH {_PARSED_SQL} SELECT doc_id, kind, message, json FROM parsed")
+def parse_reply(spark, sf_dir):
+    """The JSON of replies, fenced or between braces, and what is wrong with others."""
+    return _replies(spark, sf_dir).select("doc_id", replies.parse_reply(F.col("raw")).alias("p")).select("doc_id", "p.*")
+
+
+#: Errors and amounts follow from the shape of the reply alone.
+_CHECKED_SQL = f"""{_PARSED_SQL},
+checked AS (SELECT *, CASE bucket WHEN 6 THEN 'total_cents:int_from_float' WHEN 7 THEN 'currency:string_type' WHEN 8 THEN 'doc_type:literal_error'
+  WHEN 9 THEN 'line_items.1.description:missing,line_items.2.amount_cents:int_parsing,line_items.3:model_type' WHEN 10 THEN 'seller:string_type'
+  WHEN 11 THEN 'total_cents:int_parsing,line_items:list_type' ELSE '' END AS errors FROM parsed WHERE kind = 'ok')"""
+
+
 @query(
-    """SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'fail' ELSE 'pass' END AS outcome,
-CASE WHEN event_id % 7 <> 0 THEN regexp_extract(props, '"k": ([0-9]+)', 1)::BIGINT END AS k FROM events"""
+    f"""WITH {_CHECKED_SQL} SELECT doc_id, CASE WHEN errors = '' THEN 'pass' ELSE 'fail' END AS outcome, errors,
+CASE WHEN errors = '' THEN coalesce(json ->> 'doc_type', 'invoice') END AS kind, CASE WHEN errors = '' THEN 'USD' END AS currency,
+CASE WHEN errors = '' THEN CASE bucket WHEN 13 THEN NULL WHEN 12 THEN 1 ELSE doc_id * 7 END END::BIGINT AS total_cents,
+CASE WHEN errors = '' THEN CASE WHEN bucket IN (12, 13) THEN NULL ELSE 1 END END::INT AS n_items FROM checked"""
 )
 def schema_gate(spark, sf_dir):
-    """Lax validation of JSON: unparseable replies and fields of a wrong type fail."""
-    raw = F.when(F.col("event_id") % 14 == 0, F.lit("not json")).when(F.col("event_id") % 7 == 0, F.lit('{"k": "NaN?"}')).otherwise(F.col("props"))
-    parsed = F.get_json_object(raw, "$.k").try_cast("long")
-    return b.read(spark, sf_dir, "events").select("event_id", F.when(parsed.isNull(), "fail").otherwise("pass").alias("outcome"), parsed.alias("k"))
+    """The typed record of each reply that has one: lax about spelling, strict about kind."""
+    parsed = _replies(spark, sf_dir).select("doc_id", replies.parse_reply(F.col("raw")).alias("p")).where("p.kind = 'ok'")
+    told = parsed.select("doc_id", replies.validate(F.col("p.json")).alias("v"))
+    record = F.col("v.record")
+    return told.select(
+        "doc_id", "v.outcome", "v.errors", record["doc_type"].alias("kind"), record["currency"].alias("currency"), record["total_cents"].alias("total_cents"),
+        F.when(record["line_items"].isNotNull(), F.size(record["line_items"])).alias("n_items"),
+    )
+
+
+@query(
+    f"""WITH {_CHECKED_SQL}, told AS (SELECT p.doc_id, p.kind, p.message, c.errors FROM parsed p LEFT JOIN checked c ON c.doc_id = p.doc_id)
+SELECT doc_id, CASE WHEN kind = 'ok' AND errors <> '' THEN 'schema_invalid' ELSE kind END AS kind,
+CASE WHEN kind = 'unparseable' THEN 'response was not valid JSON: ' || message WHEN errors <> '' THEN 'schema errors: ' || errors END AS hint FROM told"""
+)
+def repair_hints(spark, sf_dir):
+    """What the funnel makes of each reply, and what the next attempt is told."""
+    parsed = _replies(spark, sf_dir).select("doc_id", replies.parse_reply(F.col("raw")).alias("p"))
+    told = parsed.select("doc_id", "p.kind", "p.message", replies.validate(F.col("p.json"))["errors"].alias("errors"))
+    kind = F.when((F.col("kind") == "ok") & (F.col("errors") != ""), "schema_invalid").otherwise(F.col("kind"))
+    return told.select("doc_id", kind.alias("kind"), replies.repair_hint(F.col("kind"), F.col("message"), F.col("errors")).alias("hint"))
+
+
+@query(
+    """WITH c AS (SELECT event_id, CASE event_id % 9 WHEN 0 THEN 'timeout' WHEN 1 THEN 'connect_error' END AS fault,
+CASE event_id % 9 WHEN 2 THEN 429 WHEN 3 THEN 503 WHEN 4 THEN 400 WHEN 5 THEN 400 WHEN 6 THEN 404 ELSE 200 END AS status,
+CASE event_id % 9 WHEN 4 THEN 'Maximum CONTEXT length exceeded by ' || event_id ELSE props END AS body FROM events),
+k AS (SELECT *, CASE WHEN fault IS NOT NULL OR status = 429 OR status >= 500 THEN 'transient' WHEN status = 400 AND contains(lower(body), 'context') THEN 'context_overflow' WHEN status >= 400 THEN 'http_error' END AS kind FROM c)
+SELECT event_id, kind, CASE kind WHEN 'context_overflow' THEN left(body, 500) ELSE coalesce(fault, status::VARCHAR) END AS message FROM k WHERE kind IS NOT NULL"""
+)
+def call_errors(spark, sf_dir):
+    """Calls that brought no reply, and whether they may be tried again."""
+    calls = b.read(spark, sf_dir, "events").selectExpr(
+        "event_id", "CASE event_id % 9 WHEN 0 THEN 'timeout' WHEN 1 THEN 'connect_error' END AS fault",
+        "CASE event_id % 9 WHEN 2 THEN 429 WHEN 3 THEN 503 WHEN 4 THEN 400 WHEN 5 THEN 400 WHEN 6 THEN 404 ELSE 200 END AS status",
+        "CASE event_id % 9 WHEN 4 THEN 'Maximum CONTEXT length exceeded by ' || event_id ELSE props END AS body",
+    )
+    return calls.select("event_id", replies.call_error(F.col("fault"), F.col("status"), F.col("body")).alias("e")).where("e IS NOT NULL").select("event_id", "e.*")
 
 
 def _gate(name: str, detail: str):
@@ -330,6 +419,52 @@ def unique_commit(spark, sf_dir):
     return ops.unique_commit(rows, ["vendor", "number"], [F.col("doc_id")]).select("doc_id", "commit_outcome")
 
 
+_REQUESTS_SQL = """asked AS (SELECT l_orderkey AS doc_id FROM lineitem GROUP BY 1),
+asks AS (SELECT doc_id, 1 AS seq, 'r' || doc_id AS result FROM asked UNION ALL SELECT doc_id, 2, CASE WHEN doc_id % 10 = 0 THEN 'other' ELSE 'r' || doc_id END FROM asked WHERE doc_id % 5 = 0
+  UNION ALL SELECT -doc_id, 1, 'r' FROM asked WHERE doc_id % 50 = 7),
+totals AS (SELECT l_orderkey AS doc_id, CAST(max(l_linenumber) + CASE WHEN l_orderkey % 11 = 4 THEN 1 ELSE 0 END AS BIGINT) AS shards_total FROM lineitem GROUP BY l_orderkey),
+lacking AS (SELECT t.doc_id, CAST(min(r.i) AS INT) AS shard_idx FROM totals t, range(0, 9) r(i)
+  WHERE r.i < t.shards_total AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = t.doc_id AND l_linenumber - 1 = r.i) GROUP BY 1)"""
+
+
+@query(
+    f"""WITH {GATES_SQL}, {_REQUESTS_SQL},
+told AS (SELECT a.*, m.shard_idx, CASE WHEN o_orderkey IS NULL THEN 'unknown_doc' WHEN m.doc_id IS NOT NULL THEN 'review:shard_output_missing' WHEN r.outcome <> 'complete' THEN r.outcome END AS early
+  FROM asks a LEFT JOIN orders ON o_orderkey = a.doc_id LEFT JOIN lacking m ON m.doc_id = a.doc_id LEFT JOIN routed r ON r.doc_id = a.doc_id)
+SELECT doc_id, seq, coalesce(early, CASE WHEN seq = 1 THEN 'complete' ELSE 'discarded:not_first_writer' END) AS outcome, shard_idx, early IS NULL AND seq = 2 AND result <> 'r' || doc_id AS diverged FROM told"""
+)
+def finalise(spark, sf_dir):
+    asked = b.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id")).distinct()
+    again = asked.where("doc_id % 5 = 0").selectExpr("doc_id", "2 AS seq", "CASE WHEN doc_id % 10 = 0 THEN 'other' ELSE 'r' || doc_id END AS result")
+    unknown = asked.where("doc_id % 50 = 7").selectExpr("-doc_id AS doc_id", "1 AS seq", "'r' AS result")
+    requests = asked.selectExpr("doc_id", "1 AS seq", "'r' || doc_id AS result").unionByName(again).unionByName(unknown)
+    totals = _totals(spark, sf_dir).withColumn("shards_total", F.col("shards_total") + F.when(F.col("doc_id") % 11 == 4, 1).otherwise(0))
+    lacking = shards.first_missing(totals, b.deliveries(spark, sf_dir), "doc_id", "shard_idx", "shards_total")
+    return ends.finalise(requests, b.ledger(spark, sf_dir), lacking, invoices.routed(spark, sf_dir))
+
+
+@query(
+    f"""WITH {GATES_SQL}, ids AS (SELECT user_id * 97 AS doc_id FROM events GROUP BY 1 UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 1)
+SELECT ids.doc_id, 'replay' AS path, CASE WHEN o_orderkey IS NOT NULL AND g.doc_id IS NOT NULL THEN 'cheap' END AS tier,
+CASE WHEN o_orderkey IS NULL THEN 'not_found' WHEN g.doc_id IS NULL THEN 'not_yet_assembled' END AS error,
+'{{"invoice_no":"' || g.invoice_no || '"' || CASE WHEN bucket = 7 THEN '' ELSE ',"seller":"' || CASE WHEN bucket = 3 THEN 'Example Buyer Ltd' ELSE g.vendor END || '"' END
+  || CASE bucket WHEN 5 THEN '' ELSE ',"total_cents":' || CASE bucket WHEN 0 THEN 1 WHEN 1 THEN total + 999999 WHEN 8 THEN -total ELSE total END END || '}}' AS fields,
+'grounding=' || grounding || ',arithmetic=' || arithmetic || ',iban_mod97=' || iban_mod97 || ',plausibility=' || plausibility || ',business_dedupe=' || business_dedupe AS gates
+FROM ids LEFT JOIN orders ON o_orderkey = ids.doc_id LEFT JOIN gate g ON g.doc_id = ids.doc_id"""
+)
+def replay_documents(spark, sf_dir):
+    """The read-only lane: fields and gates of documents whose text is there."""
+    events, orders = b.read(spark, sf_dir, "events"), b.read(spark, sf_dir, "orders")
+    ids = events.select((F.col("user_id") * 97).alias("doc_id")).union(orders.where("o_orderkey % 3 = 1").select("o_orderkey")).distinct()
+    told = F.concat_ws(",", *[F.concat(F.lit(f"{g}="), F.col(f"{g}.outcome")) for g in invoices.GATES])
+    dumped = F.to_json(F.struct("record.invoice_no", "record.seller", "record.total_cents"))  # nulls are left out
+    judged = invoices.gated(spark, sf_dir).select("doc_id", dumped.alias("fields"), told.alias("gates"), F.lit("cheap").alias("tier"))
+    known = b.ledger(spark, sf_dir).select("doc_id", F.lit(True).alias("known"))
+    error = F.when(F.col("known").isNull(), "not_found").when(F.col("tier").isNull(), "not_yet_assembled")
+    joined = ids.join(known, "doc_id", "left").join(judged, "doc_id", "left")
+    return joined.select("doc_id", F.lit("replay").alias("path"), "tier", error.alias("error"), "fields", "gates")
+
+
 _CALL = "CASE (doc_id * 7 + tier * 3 + call * call) % 6 WHEN 0 THEN 'ok' WHEN 1 THEN 'transient' WHEN 2 THEN 'schema_invalid' WHEN 3 THEN 'unparseable' WHEN 4 THEN 'context_overflow' ELSE CASE WHEN doc_id % 4 = 0 THEN 'refusal' ELSE 'transient' END END"
 
 
@@ -511,9 +646,9 @@ def redrive_targets(spark, sf_dir):
     return recon.redrive_targets(b.ledger(spark, sf_dir), assembled)
 
 
-@query(f"WITH {b.LEDGER_SQL}, m AS (SELECT doc_id, state FROM ledger WHERE state = 'review' AND priority = 5 AND doc_id % 100 = 3) SELECT *, (SELECT count(*) FROM m)::BIGINT AS matched, (SELECT count(*) FROM m) <= 25 AS allowed FROM m")
+@query(f"WITH {b.LEDGER_SQL}, m AS (SELECT doc_id, state FROM ledger WHERE state = 'review' AND priority = 5) SELECT *, (SELECT count(*) FROM m)::BIGINT AS matched, (SELECT count(*) FROM m) <= 25 AS allowed FROM m")
 def bulk_redrive_cap(spark, sf_dir):
-    return recon.bulk_redrive(b.ledger(spark, sf_dir), "state = 'review' AND priority = 5 AND doc_id % 100 = 3")
+    return recon.bulk_redrive(b.ledger(spark, sf_dir), "state = 'review' AND priority = 5")
 
 
 @query(
@@ -539,9 +674,17 @@ def outbox_age(spark, sf_dir):
     return recon.outbox_age(b.outbox(spark, sf_dir), b.as_of(b.EVENTS_AS_OF))
 
 
-@query(f"WITH {b.LEDGER_SQL} SELECT doc_id, 'complete' AS state, 'document.extracted' AS topic, 'accepted' AS override, '{{\"actor\":\"operator\",\"reason\":\"checked by hand\",\"was\":\"review\"}}' AS detail FROM ledger WHERE state = 'review'")
+@query(
+    f"""WITH {b.LEDGER_SQL} SELECT doc_id, 'complete' AS state, 'document.extracted' AS topic, 'accepted' AS override, '{{"actor":"operator","reason":"checked by hand","was":"review"}}' AS detail,
+CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'arithmetic=' || CASE WHEN doc_id % 3 = 0 THEN 'fail' ELSE 'pass' END || ',grounding=' || CASE WHEN doc_id % 3 = 0 THEN 'pass' ELSE 'fail' END || ',' END || 'operator_override=accepted' AS gates
+FROM ledger WHERE state = 'review'"""
+)
 def accept_review(spark, sf_dir):
-    return recon.accept_review(b.ledger(spark, sf_dir), "operator", "checked by hand")
+    one = "named_struct('outcome', CASE WHEN {} THEN 'fail' ELSE 'pass' END, 'detail', CAST(NULL AS STRING))"
+    kept = f"CASE WHEN doc_id % 4 <> 0 THEN map('grounding', {one.format('doc_id % 3 <> 0')}, 'arithmetic', {one.format('doc_id % 3 = 0')}) END"
+    accepted = recon.accept_review(b.ledger(spark, sf_dir).withColumn("gate_results", F.expr(kept)), "operator", "checked by hand")
+    told = F.array_sort(F.transform(F.map_entries("gate_results"), lambda e: F.concat(e["key"], F.lit("="), e["value"]["outcome"])))
+    return accepted.select("doc_id", "state", "topic", "override", "detail", F.array_join(told, ",").alias("gates"))
 
 
 @query(
@@ -553,6 +696,52 @@ def gpu_watchdog(spark, sf_dir):
     return recon.watchdog(models, ["strong-model"])
 
 
+@query(
+    """WITH m AS (SELECT n_regionkey AS poll, n_name AS name, n_nationkey % 2 AS v FROM nation),
+g AS (SELECT poll, coalesce(string_agg(name, ',' ORDER BY name) FILTER (v = 1), '') AS on_gpu, coalesce(string_agg(name, ',' ORDER BY name) FILTER (v = 0), '') AS on_cpu,
+  CASE WHEN count(*) FILTER (v = 1 AND name = 'strong-model') = 0 THEN 'strong-model' ELSE '' END AS missing, count(*) FILTER (v = 0) AS cpu FROM m GROUP BY 1)
+SELECT poll, on_gpu, on_cpu, missing, CASE WHEN poll = 3 THEN 'wait' WHEN cpu > 0 THEN CASE WHEN poll = 4 THEN 'would_restart' WHEN poll * 200 < 300 THEN 'cooldown' ELSE 'restart' END ELSE 'pin' END AS action FROM g"""
+)
+def gpu_watchdog_polls(spark, sf_dir):
+    """Polls in a row: a restart is not repeated within the cooldown, nor made in a dry run."""
+    polls = b.read(spark, sf_dir, "nation").selectExpr(
+        "n_regionkey AS poll", "n_name AS name", "n_nationkey % 2 AS size_vram", "n_regionkey <> 3 AS reachable", "n_regionkey * 200 AS since_restart", "n_regionkey = 4 AS dry_run"
+    )
+    return recon.watchdog(polls, ["strong-model"], ["poll"], cooldown_seconds=300)
+
+
+@query(
+    """WITH p AS (SELECT user_id % 5 AS lane, event_id * 7 AS "at", event_id // 40 AS total, event_id // 40 - CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS settled FROM events),
+l AS (SELECT *, total <> coalesce(lag(total) OVER (PARTITION BY lane ORDER BY "at"), -1) AS moved FROM p),
+q AS (SELECT *, "at" - max(CASE WHEN moved THEN "at" END) OVER (PARTITION BY lane ORDER BY "at") AS quiet FROM l)
+SELECT lane, "at", total, settled, quiet, total > 0 AND quiet >= 120 AND settled = total AS drained FROM q"""
+)
+def drain_watch(spark, sf_dir):
+    polls = b.read(spark, sf_dir, "events").selectExpr(
+        "user_id % 5 AS lane", "event_id * 7 AS at", "event_id DIV 40 AS total", "event_id DIV 40 - CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS settled"
+    )
+    return recon.drain_watch(polls, ["lane"], 120)
+
+
+@query(
+    f"""WITH {b.LOG_SQL}, m AS (SELECT max(id) AS m FROM attempt_log)
+SELECT m + row_number() OVER (ORDER BY o_orderkey % 16, o_orderkey) AS id, o_orderkey AS doc_id, 'extraction' AS stage, CAST(o_orderkey % 3 + 1 AS INT) AS attempt_no,
+CASE WHEN o_orderkey % 2 = 0 THEN 'retry' ELSE 'ok' END AS outcome, CASE WHEN o_orderkey % 2 = 0 THEN 'transient' END AS error_class FROM orders, m"""
+)
+def append_attempts(spark, sf_dir):
+    tried = b.read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS doc_id", "'extraction' AS stage", "CAST(o_orderkey % 3 + 1 AS INT) AS attempt_no",
+        "CASE WHEN o_orderkey % 2 = 0 THEN 'retry' ELSE 'ok' END AS outcome", "CASE WHEN o_orderkey % 2 = 0 THEN 'transient' END AS error_class",
+    )
+    return ops.append_attempts(b.attempt_log(spark, sf_dir), tried, ["doc_id"], F.col("doc_id") % 16)
+
+
+@query("SELECT doc_id, 'crc32c-' || substr(md5(text), 1, 8) AS object_id FROM documents")
+def checksum_ids(spark, sf_dir):
+    encoded = F.base64(F.unhex(F.substring(F.md5("text"), 1, 8)))
+    return b.read(spark, sf_dir, "documents").select("doc_id", text.checksum_id(encoded).alias("object_id"))
+
+
 @query("SELECT state, count(*)::BIGINT AS n FROM (SELECT " + b._STATE + " AS state FROM orders) GROUP BY 1")
 def state_counts(spark, sf_dir):
     return b.ledger(spark, sf_dir).groupBy("state").agg(F.count(F.lit(1)).alias("n"))

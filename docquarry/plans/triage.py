@@ -41,12 +41,15 @@ def triage(objects: DataFrame, page_ceiling: int = PAGE_CEILING) -> DataFrame:
     return told.select("*", state.alias("state"), error.alias("last_error"))
 
 
-def dispatch(triaged: DataFrame, shard_size: int = 1, sample_chars: int = 1200) -> DataFrame:
-    """The message of each dispatched document."""
-    layer = text.has_text_layer(F.substring("text", 1, sample_chars))
+def dispatch(triaged: DataFrame, samples: DataFrame, shard_size: int = 1) -> DataFrame:
+    """The message of each dispatched document.  ``samples`` has the ``sample`` of
+    a document's first pages that the hint of a text layer is taken from; without
+    one there is no hint."""
+    sampled = triaged.where("result = 'dispatched'").join(samples.select("doc_id", "sample"), "doc_id", "left")
+    layer = text.has_text_layer(F.col("sample"))
     topic = text_topic(layer, F.col("page_count"), shard_size)
     single = F.col("topic") == "ocr.shard"
-    return triaged.where("result = 'dispatched'").withColumn("topic", topic).select(
+    return sampled.withColumn("topic", topic).select(
         "doc_id", "topic", F.when(single, 0).alias("shard_idx"), F.when(single, F.col("page_count")).alias("page_end"), F.col("gcs_path").alias("path")
     )
 

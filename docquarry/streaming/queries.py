@@ -49,7 +49,8 @@ def stream_scatter_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _source(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("int").alias("shard_idx"), ((F.col("l_orderkey") % 4) + 1).cast("int").alias("shards_total")
     )
-    return drained(stateful.scatter_gather(stream.where("shard_idx <= shards_total")))
+    told = drained(stateful.scatter_gather(stream.where("shard_idx <= shards_total")), "update")
+    return told.groupBy("doc_id").agg(F.min_by("shards_done", "batch").alias("shards_done"))
 
 
 def stream_state_machine(spark: SparkSession, sf_dir: str) -> DataFrame:

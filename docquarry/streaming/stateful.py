@@ -25,32 +25,6 @@ def _ordered(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values(by)
 
 
-class ScatterGather(StatefulProcessor):
-    """Counts distinct shards; the one that reaches the total emits a row.  The
-    shards of a document are one value, read and written once a batch."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "shards array<int>")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        stored = self.seen.get()
-        seen = set(stored[0]) if stored is not None else set()
-        before, won = len(seen), []
-        for part in rows:
-            for shard, total in zip(part["shard_idx"].tolist(), part["shards_total"].tolist(), strict=True):
-                if shard not in seen:
-                    seen.add(shard)
-                    if len(seen) == total:
-                        won.append(total)
-        if len(seen) > before:
-            self.seen.update((sorted(seen),))
-        if won:
-            yield pd.DataFrame({"doc_id": [key[0]], "shards_done": won[:1]})
-
-    def close(self) -> None:
-        pass
-
-
 class StateMachine(StatefulProcessor):
     """Applies guarded transitions; emits the state after each batch of a key."""
 
@@ -80,21 +54,25 @@ class StuckTimer(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("state", "state string, at long")
+        self.state = handle.getValueState("state", "state string, at long, seq long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        frame = _ordered(rows, ["seq"])
-        at = int(frame["at_ms"].iloc[-1])
-        state = str(frame["state"].iloc[-1])
+        last = _ordered(rows, ["seq"]).iloc[-1]
+        seq, at, state = int(last["seq"]), int(last["at_ms"]), str(last["state"])
+        empty = pd.DataFrame({"doc_id": pd.Series([], dtype="int64"), "state": pd.Series([], dtype="object"), "at_ms": pd.Series([], dtype="int64")})
+        stored = self.state.get()
+        if stored is not None and stored[2] > seq:  # an older event in a later batch
+            yield empty
+            return
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.state.update((state, at))
+        self.state.update((state, at, seq))
         if state in IN_FLIGHT:
             self.handle.registerTimer(at + self.LIMIT_MS)
-        yield pd.DataFrame({"doc_id": pd.Series([], dtype="int64"), "state": pd.Series([], dtype="object"), "at_ms": pd.Series([], dtype="int64")})
+        yield empty
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        state, at = self.state.get()
+        state, at, _ = self.state.get()
         yield pd.DataFrame({"doc_id": [key[0]], "state": [state], "at_ms": [at]})
 
     def close(self) -> None:
@@ -102,10 +80,15 @@ class StuckTimer(StatefulProcessor):
 
 
 def scatter_gather(stream: DataFrame) -> DataFrame:
-    """``stream`` has ``doc_id``, ``shard_idx`` and ``shards_total``."""
-    return stream.groupBy("doc_id").transformWithStateInPandas(
-        ScatterGather(), outputStructType="doc_id long, shards_done long", outputMode="Append", timeMode="None"
-    )
+    """``doc_id`` and ``shards_done`` of documents whose distinct shards reach their
+    total, in update mode.  ``stream`` has ``doc_id``, ``shard_idx`` and
+    ``shards_total``.
+
+    The distinct shards are an aggregate in the state store, without Python.  A
+    shard that is delivered again later tells its document again, so the sink
+    keeps the first row of each."""
+    counted = stream.groupBy("doc_id").agg(F.size(F.collect_set("shard_idx")).cast("long").alias("shards_done"), F.max("shards_total").alias("wanted"))
+    return counted.where("shards_done = wanted").select("doc_id", "shards_done")
 
 
 def state_machine(stream: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docquarry.functions.states import STATES, TRANSITIONS, may_follow, transition_table
 from docquarry.operators import funnel, ledger, recon, shards
 from docquarry.plans import bindings as b
+from docquarry.sources import queue
 from docquarry.streaming import queries as streams
 from docquarry.streaming import stateful
 
@@ -57,7 +58,8 @@ def test_stream_equals_batch_over_restarts(spark, tmp_path):
         shards_rows.append(part)
         spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(folder)
         stream = stateful.scatter_gather(spark.readStream.schema(kind).parquet(folder))
-        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+        each = lambda batch, _: queue.post_once(batch, out, order="shards_done")
+        stream.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
     got = sorted(r["doc_id"] for r in spark.read.schema("doc_id long, shards_done long").parquet(out).collect())
     frame = spark.createDataFrame([r for p in shards_rows for r in p], kind)
     docs = frame.select("doc_id", "shards_total").distinct()
