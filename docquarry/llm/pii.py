@@ -1,12 +1,13 @@
 """Personal data, with bootstrapped contextual extraction.
 
 Seed entities (e-mail, IP address, card, phone) come from fixed expressions.
-The two words before an entity are a lexical pattern.  Spark keeps the graph of
-patterns and instances and scores it in rounds: a pattern is trusted if several
-different known instances follow it and most of all its occurrences in the
-corpus are followed by known ones; an unknown token that looks like an
-identifier becomes known if trusted patterns make it likely enough.  Rounds end
-when one gains nothing.
+What stands around an entity gives its lexical patterns: the two words before
+it, the one before, the one before with its separator, and the one after.  Spark
+keeps the graph of patterns and instances and scores it in rounds: a pattern is
+trusted if it is seen at several different known instances and most of all its
+occurrences in the corpus are at known ones; an unknown token that looks like an
+identifier (four characters or more, one of them a digit or @) becomes known if
+trusted patterns make it likely enough.  Rounds end when one gains nothing.
 """
 
 from __future__ import annotations
@@ -21,12 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import in_arrow, table, text_of, written
-from docquarry.llm.hashing import WordHashes, bit_filter, in_filter, signed, windows
+from docquarry.llm.hashing import M1, WordHashes, bit_filter, in_filter, mix, signed, windows
 
 KINDS = ("email", "ip", "card", "phone", "context")
 MIN_INSTANCES = 3
 MIN_PRECISION = 0.5
 MIN_CONFIDENCE = 0.5
+#: Part of an instance's occurrences that a trusted pattern must stand at: what
+#: mostly occurs elsewhere is a common token and would carry the rounds astray.
+MIN_SHARE = 0.5
 #: Rounds after which a longer chain counts as an error rather than going on.
 ROUNDS = 60
 
@@ -81,22 +85,41 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def contexts_of(text: str, starts: list[int]) -> list[str | None]:
-    """Per start the two words before it, however far, in lower case; None if
-    there are not two."""
+#: First parts of the patterns of one word, in place of another word.
+BEFORE, AFTER = "\x00before", "\x00after"
+_MARK = re.compile(r"\s*([:=#]+)")
+_MARKED = re.compile(r"([^\W\d_]+)\s*([:=#]+)")
+
+
+def patterns_of(text: str, spans: list[tuple[int, int]]) -> list[list[tuple[str, str]]]:
+    """The patterns around each span (start, end), as pairs in lower case.  Words
+    count however far they are; where there are none, nor are their patterns."""
     words = np.fromiter((x for m in _WORD.finditer(text) for x in m.span()), np.int64).reshape(-1, 2)
+    starts = words[:, 0]
     out = []
-    for start, k in zip(starts, np.searchsorted(words[:, 0], starts).tolist(), strict=True):
-        if k < 2:
-            out.append(None)
-            continue
-        (a, b), (c, d) = words[k - 2 : k].tolist()
-        out.append(f"{text[a:b]} {text[c : min(d, start)]}".lower())
+    for (start, end), k, n in zip(
+        spans, np.searchsorted(starts, [a for a, _ in spans]).tolist(), np.searchsorted(starts, [b for _, b in spans]).tolist(), strict=True
+    ):
+        told = []
+        if k:
+            a, b = words[k - 1].tolist()
+            near = text[a : min(b, start)].lower()
+            told.append((BEFORE, near))
+            mark = _MARK.match(text, b, start)
+            if mark:
+                told.append(("\x00" + mark[1], near))
+            if k > 1:
+                a, b = words[k - 2].tolist()
+                told.append((text[a:b].lower(), near))
+        if n < len(words):
+            a, b = words[n].tolist()
+            told.append((AFTER, text[a:b].lower()))
+        out.append(told)
     return out
 
 
-def graph_edges(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, str]]:
-    """(start, kind, end, instance, context) of seeds and of other tokens that
+def graph_edges(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[tuple[str, str]]]]:
+    """(start, kind, end, instance, patterns) of seeds and of other tokens that
     look like identifiers; kind 4 for the latter."""
     spots = list(base)
     covered = sorted((a, b) for a, _, b in base)
@@ -110,15 +133,23 @@ def graph_edges(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
             k = int(np.searchsorted(starts, b))
             if k == 0 or reach[k - 1] <= a:
                 spots.append((a, 4, b))
-    edges = []
-    for (a, kind, b), context in zip(spots, contexts_of(text, [a for a, _, _ in spots]) if spots else [], strict=True):
-        if context:
-            edges.append((a, kind, b, text[a:b].lower(), context))
-    return edges
+    if not spots:
+        return []
+    around = patterns_of(text, [(a, b) for a, _, b in spots])
+    return [(a, kind, b, text[a:b].lower(), told) for (a, kind, b), told in zip(spots, around, strict=True) if told]
+
+
+def all_patterns(text: str, hashes: WordHashes) -> np.ndarray:
+    """Hashes of all patterns that the words of a text could give to something."""
+    low = text.lower()
+    words = hashes.of(_WORD.findall(low))
+    alone = [mix(hashes.of([part]) * M1 + words) for part in (BEFORE, AFTER)]
+    marked = [windows(hashes.of(["\x00" + mark, word]), 2) for word, mark in _MARKED.findall(low)]
+    return np.concatenate([windows(words, 2), *alone, *marked])
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
-_EDGES = "array<struct<start:int,kind:int,end:int,instance:string,pattern:long>>"
+_EDGES = "array<struct<start:int,kind:int,end:int,instance:string,patterns:array<long>>>"
 
 
 def _scan(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -128,7 +159,7 @@ def _scan(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     schema = source.select(*keep, "_dq_row", F.lit(None).cast(_SPANS).alias("_dq_base"), F.lit(None).cast(_EDGES).alias("_dq_edges")).schema
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     edge_type = pa.list_(
-        pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("instance", pa.string()), ("pattern", pa.int64())])
+        pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("instance", pa.string()), ("patterns", pa.list_(pa.int64()))])
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,9 +171,10 @@ def _scan(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
                 found, graph = [], []
                 if _HINT.search(text):
                     found = base_spans(text)
-                    for a, k, b, instance, context in graph_edges(text, found):
-                        pattern = int(signed(windows(hashes.of(context.split(" ")), 2))[0])
-                        graph.append({"start": a, "kind": k, "end": b, "instance": instance, "pattern": pattern})
+                    for a, k, b, instance, around in graph_edges(text, found):
+                        pairs = hashes.of([part for pair in around for part in pair])
+                        patterns = signed(mix(pairs[::2] * M1 + pairs[1::2])).tolist()
+                        graph.append({"start": a, "kind": k, "end": b, "instance": instance, "patterns": patterns})
                 spans.append([{"start": a, "kind": k, "end": b} for a, k, b in found])
                 edges.append(graph)
             yield pa.RecordBatch.from_arrays(
@@ -153,15 +185,16 @@ def _scan(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
 
 def _pattern_totals(docs: DataFrame, packed: np.ndarray) -> DataFrame:
-    """``pattern``, ``total``: how often these word pairs occur in the corpus."""
+    """``pattern``, ``total``: how often these patterns occur in the corpus, at
+    whatever it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             parts = []
             for text in batch.column(0):
-                pairs = windows(hashes.of(_WORD.findall(text.as_py().lower())), 2)
-                parts.append(pairs[in_filter(packed, pairs)])
+                found = all_patterns(text.as_py(), hashes)
+                parts.append(found[in_filter(packed, found)])
             values, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.uint64),) * 2
             yield pa.RecordBatch.from_arrays([pa.array(signed(values)), pa.array(counts.astype(np.int64))], ["pattern", "n"])
 
@@ -170,13 +203,17 @@ def _pattern_totals(docs: DataFrame, packed: np.ndarray) -> DataFrame:
     )
 
 
-def _bootstrap(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFrame:
+def _bootstrap(edges: DataFrame, totals: DataFrame, occurrences: DataFrame, rounds: int) -> DataFrame:
     """The instances that become known until a round gains none, which is an error
-    if ``rounds`` rounds are not enough.  What is known stays known, so a round
-    that leaves their number leaves all.  Counts are over (pattern, instance)
+    if ``rounds`` rounds are not enough.  ``occurrences`` has how often an
+    ``instance`` ``occurs`` at all.  What is known stays known, so a round that
+    leaves their number leaves all.  Counts are over (pattern, instance)
     edges, so hot patterns are aggregated before they meet."""
     graph = written(
-        edges.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("kind") < 4).cast("int")).alias("seed")).join(totals, "pattern"),
+        edges.groupBy("pattern", "instance")
+        .agg(F.count(F.lit(1)).alias("n"), F.max((F.col("kind") < 4).cast("int")).alias("seed"))
+        .join(totals, "pattern")
+        .join(occurrences, "instance"),
         "pii-graph",
     )
     known, many = None, 0
@@ -192,8 +229,10 @@ def _bootstrap(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFrame:
         )
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("precision"), F.lit(1e-9)))))
         gained = (
-            graph.where("seed = 0").join(trusted.select("pattern", "precision"), "pattern").groupBy("instance").agg((1 - doubt).alias("confidence"))
-            .where(F.col("confidence") >= MIN_CONFIDENCE)
+            graph.where("seed = 0").join(trusted.select("pattern", "precision"), "pattern")
+            .groupBy("instance")
+            .agg((1 - doubt).alias("confidence"), (F.max("n") / F.max("occurs")).alias("share"))
+            .where((F.col("confidence") >= MIN_CONFIDENCE) & (F.col("share") >= MIN_SHARE))
             .select("instance")
         )
         known, before = written(gained, "pii-known"), many
@@ -212,15 +251,17 @@ def find_personal(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rounds:
     must not begin with ``_dq_``.
     """
     scanned = written(_scan(docs, keep), "pii-scan")
-    edges = scanned.select("_dq_row", F.explode("_dq_edges").alias("e")).select("_dq_row", "e.*")
+    spots = scanned.select("_dq_row", F.explode("_dq_edges").alias("e")).select("_dq_row", "e.*")
+    edges = spots.select("kind", "instance", F.explode("patterns").alias("pattern"))
     patterns = edges.select("pattern", "instance").distinct().groupBy("pattern").count().where(F.col("count") >= MIN_INSTANCES)
     packed = bit_filter(patterns, "pattern")
     base = F.col("_dq_base")
     if not packed.any():
         return scanned.select(*keep, base.alias(into))
-    known = _bootstrap(edges, _pattern_totals(docs, packed).join(patterns, "pattern", "left_semi"), rounds)
+    occurrences = spots.groupBy("instance").agg(F.count(F.lit(1)).alias("occurs"))
+    known = _bootstrap(edges, _pattern_totals(docs, packed).join(patterns, "pattern", "left_semi"), occurrences, rounds)
     gained = written(
-        edges.where("kind = 4")
+        spots.where("kind = 4")
         .join(known, "instance", "left_semi")
         .groupBy("_dq_row")
         .agg(F.collect_list(F.struct("start", "kind", "end")).alias("_dq_gained")),
