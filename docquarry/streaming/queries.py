@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from docquarry.plans import bindings as b
 from docquarry.plans import queries as batch_queries
 from docquarry.sources.queue import post_once
+from docquarry.sources.shared import shared_dir
 from docquarry.streaming import stateful
 
 
 def _folder(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_streams"
-    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,14 +32,20 @@ def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run ``stream`` until all input there is was read; what it wrote."""
     spark = stream.sparkSession
     folder = _folder(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stateful.STORE)
     if mode == "append":
         writer = stream.writeStream.format("parquet").option("path", f"{folder}/out")
     else:  # parquet takes appends only
         writer = stream.writeStream.outputMode(mode).foreachBatch(
             lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{folder}/out")
         )
-    writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, stateful.STORE)  # read when the stream starts, then as it was
+    try:
+        running = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, before)
+    running.awaitTermination()
     schema = stream.schema if mode == "append" else stream.schema.add("batch", "long")
     return spark.read.schema(schema).parquet(f"{folder}/out")
 
