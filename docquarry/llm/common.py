@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from docquarry.sources.shared import shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read by Spark so that any Hadoop path works."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_of(column: str = "text") -> Column:
@@ -23,20 +25,20 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share.
-
-    ``spark.checkpoint.dir`` names it on a cluster.  Only where that is unset
-    (tests on one machine) a folder in the warehouse is used instead.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+def tuned(spark: SparkSession) -> SparkSession:
+    """For applications, as the registered queries are: where the session still
+    has Spark's own limits, hand Python at most 1000 rows or 16 MB at a time.
 
-
-#: Rows of text handed to Python at a time, at most.
-ARROW_ROWS = 1000
+    A batch is held several times over between Spark and Python, and texts are
+    long.  The operators never change a session; without this they take batches
+    of what it sets, 64 MB unless told otherwise."""
+    for key, own, wanted in (
+        ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
+        ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m"),
+    ):
+        if spark.conf.get(key) == own:
+            spark.conf.set(key, wanted)
+    return spark
 
 
 def _release() -> None:
@@ -49,30 +51,23 @@ def _release() -> None:
 
 
 def in_arrow(run: Callable, schema: str | StructType) -> Callable[[DataFrame], DataFrame]:
-    """``mapInArrow`` for ``DataFrame.transform``, over batches of ARROW_ROWS rows
-    or what the session sets below that: texts are long, and a batch is held
-    several times over between Spark and Python.  The setting stays lowered, as
-    plans run later than they are made.  A worker returns its memory at the end
-    of each task."""
+    """``mapInArrow`` for ``DataFrame.transform``.  Spark bounds what it hands over
+    by rows and by bytes (see ``tuned``); a single row may be larger.  A worker
+    returns its memory at the end of each task."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
         _release()
 
-    def apply(frame: DataFrame) -> DataFrame:
-        key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", frame.sparkSession.conf
-        if not 0 < int(conf.get(key)) <= ARROW_ROWS:
-            conf.set(key, str(ARROW_ROWS))
-        return frame.mapInArrow(task, schema)
-
-    return apply
+    return lambda frame: frame.mapInArrow(task, schema)
 
 
 def written(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``frame`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: what follows survives the loss of any executor
-    without running what came before again.
+    without running what came before again.  All such tables of an application
+    lie in one folder, which ``clear_shared`` removes once results are written.
     """
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
