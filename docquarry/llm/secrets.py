@@ -1,7 +1,8 @@
 """Secret scans with multipart credential linking, with DataFrame functions only.
 
 Each kind of part is cut out of the text by one split and one extraction of the
-same pattern; the lengths of the pieces give the positions.  Base kinds are
+same pattern, where the text holds what the pattern needs; the lengths of the
+pieces give the positions.  Base kinds are
 always reported.  Weak candidates (login names, random-looking strings,
 endpoints) are reported only where the parts that complete a credential lie
 within the same scope.  The interval join is done as a sweep: per document the
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import table, text_of
+from docquarry.llm.common import table, text_of, written
 
 ASSIGN = (
     "(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
@@ -38,6 +39,9 @@ KINDS = (
     ("random", RANDOM, 0, 20, "secret"),
     ("endpoint", ENDPOINT, 0, 10, "endpoint"),
 )
+#: Texts without any of these hold nothing of the kind that counts; looking for
+#: them is much cheaper than the pattern.
+NEEDED = {"assign": (":", "="), "access": ("AKIA",), "login": (":", "="), "endpoint": ("://",)}
 BASE = ("assign", "access", "hex")
 #: Parts are in one scope if at most this many characters lie between them.
 SCOPE_CHARS = 200
@@ -64,7 +68,13 @@ def _parts(text: Column, rank: int) -> Column:
         ),
     )
     nothing = F.array().cast("array<struct<rank:int,nth:int,gap:int,span:int,kept:boolean>>")
-    return F.when(text.rlike(pattern), rows).otherwise(nothing)
+    worth = text.rlike(pattern)
+    if kind in NEEDED:
+        present = [F.contains(text, F.lit(part)) for part in NEEDED[kind]]
+        worth = (present[0] if len(present) == 1 else present[0] | present[1]) & worth
+    elif kind == "random":
+        worth = text.rlike("[0-9]") & worth
+    return F.when(worth, rows).otherwise(nothing)
 
 
 def find_parts(docs: DataFrame) -> DataFrame:
@@ -74,7 +84,9 @@ def find_parts(docs: DataFrame) -> DataFrame:
     text = text_of()
     found = docs.select("doc_id", text.alias("text")).withColumn("row", F.monotonically_increasing_id())
     arrays = found.select("row", "doc_id", F.concat(*[_parts(F.col("text"), k) for k in range(len(KINDS))]).alias("parts"))
-    flat = arrays.select("row", "doc_id", F.explode_outer("parts").alias("p")).select("row", "doc_id", "p.*").repartition("row")
+    # written, so that rows keep their numbers when tasks run again
+    kept = written(arrays, "secret-parts")
+    flat = kept.select("row", "doc_id", F.explode_outer("parts").alias("p")).select("row", "doc_id", "p.*").repartition("row")
     upto = Window.partitionBy("row", "rank").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.col("span")).over(upto)
     return flat.select(
