@@ -74,19 +74,24 @@ def mix_sources(
     limit and deals both sides by source otherwise, where a source that holds
     much of the rows can be split, since only a projection follows.
     """
-    mixed = _mix(docs.select(*dict.fromkeys((*keep, "doc_id", "text", "source"))), weights, max_rate, seed)
+    mixed = _mix(docs.select(*dict.fromkeys((*keep, "doc_id", "text", "source"))), weights, max_rate, seed, "text" in keep)
     return mixed.select(*keep, *[F.col(f"_dq_{c}").alias(c) for c in ("size", "source_size", "target", "copies")])
 
 
-def _mix(docs: DataFrame, weights: tuple[int, ...], max_rate: int, seed: str) -> DataFrame:
-    """``docs`` with ``_dq_size``, ``_dq_source_size``, ``_dq_target``, ``_dq_copies``."""
+def _mix(docs: DataFrame, weights: tuple[int, ...], max_rate: int, seed: str, wide: bool) -> DataFrame:
+    """``docs`` with ``_dq_size``, ``_dq_source_size``, ``_dq_target``, ``_dq_copies``;
+    without their text unless ``wide``."""
     text = text_of()
     drawn = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(text)))
     unit = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), drawn)), 1, 12), 16, 10).cast("double") / float(1 << 48)
     size = F.regexp_count(text, F.lit(WORD)).cast("long")
     sized = docs.select("*", F.col("source").alias("_dq_source"), size.alias("_dq_size"), unit.alias("_dq_unit"))
+    if not wide:
+        # what is left of a document without its text is small, so words are counted once
+        sized = written(sized.drop("text"), "mix-sized")
     # written, so that its true size decides whether documents are dealt by source at all
-    per_source = written(source_targets(docs.select("source", size.alias("size")), weights, max_rate), "mix-targets")
+    counted = sized.select(F.col("_dq_source").alias("source"), F.col("_dq_size").alias("size"))
+    per_source = written(source_targets(counted, weights, max_rate), "mix-targets")
     targets = per_source.select(
         F.col("source").alias("_dq_named"), F.col("source_size").alias("_dq_source_size"), F.col("target").alias("_dq_target")
     )
@@ -106,7 +111,7 @@ def emit_mixture(
     Documents with no copies do not appear."""
     name = "mix_copy" if "copy" in docs.columns else "copy"
     copy = F.explode(F.sequence(F.lit(0), (F.col("_dq_copies") - 1).cast("int"))).alias(name)
-    return _mix(docs, weights, max_rate, seed).where("_dq_copies > 0").select(*docs.columns, copy)
+    return _mix(docs, weights, max_rate, seed, True).where("_dq_copies > 0").select(*docs.columns, copy)
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
