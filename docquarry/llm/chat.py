@@ -78,7 +78,6 @@ FILTERS: dict[str, Callable] = {
     "trim": lambda v: str(v).strip(),
     "upper": lambda v: str(v).upper(),
     "lower": lambda v: str(v).lower(),
-    "length": len,
     "string": str,
 }
 
@@ -234,7 +233,19 @@ def parse(template: str) -> tuple:
 
 # ---- folding ----------------------------------------------------------------
 
-_BINARY: dict[str, Callable] = {
+def _fitting(what: str, use: Callable) -> Callable:
+    """``use``, refusing values of kinds that do not fit as the language's error."""
+
+    def run(*values):
+        try:
+            return use(*values)
+        except TypeError:
+            raise TemplateError(f"{what} does not fit {' and '.join(type(v).__name__ for v in values)}") from None
+
+    return run
+
+
+_OPERATORS: dict[str, Callable] = {
     "+": lambda a, b: a + b,
     "-": lambda a, b: a - b,
     "*": lambda a, b: a * b if isinstance(a, int) and isinstance(b, int) else _refuse(),
@@ -247,12 +258,16 @@ _BINARY: dict[str, Callable] = {
     ">=": lambda a, b: a >= b,
     "in": lambda a, b: a in b,
 }
+_BINARY = {op: _fitting(op, use) for op, use in _OPERATORS.items()}
 
 
 def _refuse():
     raise TemplateError("only whole numbers are multiplied")
 
 
+FILTERS["length"] = _fitting("length", len)
+
+
 def fold(tree: tuple) -> tuple:
     """The same tree with constant parts worked out, dead branches gone and
     neighbouring constant output joined."""
@@ -510,6 +525,8 @@ PROBE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[IN
 
 
 def op6_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``format_conversations`` of ``conversations`` and the probe, digested from what is read back;
+    nulls and ties as there."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
 

@@ -233,7 +233,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     window of each hash in the document; any one decides.  Null texts count as
     empty and match nothing, as do items of under SHORTEST tokens.  Repeated
     rows of a document or of an item give one row; documents with one id but
-    different texts are told apart by ``text_key``, null ids likewise.
+    different texts are told apart by ``text_key``, null ids likewise.  Very long
+    texts are worked on whole, some fifty bytes for each of their tokens.
     """
     items = written(_item_windows(benchmark), "decon-items")
     packed = bit_filter(items, "h")
@@ -284,5 +285,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``find_leaks`` of ``documents`` against ``benchmark``, a row per leaking document and item;
+    nulls, short and repeated items as there."""
     leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return leaks.select("doc_id", "item_id", "kind", "covered", "item_tokens")

@@ -54,8 +54,8 @@ def bit_filter(hashes: DataFrame, column: str) -> np.ndarray:
     most MOST_BITS, whatever the input.  A filter that fills up lets more
     through; whoever uses it joins exactly afterwards.
     """
-    bits = LEAST_BITS
-    while bits < MOST_BITS and bits < 16 * hashes.count():
+    bits, wanted = LEAST_BITS, 16 * hashes.count()
+    while bits < MOST_BITS and bits < wanted:
         bits *= 4
     at = F.col(column).bitwiseAND(bits - 1)
     words = (

@@ -245,4 +245,6 @@ def audio_columns(docs: DataFrame, with_media: bool = True) -> DataFrame:
 
 
 def op10_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``audio_columns`` of ``documents`` without the large columns, a row per row; null texts as
+    empty."""
     return audio_columns(table(spark, sf_dir, "documents"), with_media=False)

@@ -115,6 +115,8 @@ def emit_mixture(
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mix_sources`` of ``documents``, with the words each row adds to the mixture; nulls as
+    there."""
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")

@@ -367,7 +367,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     are named by their least doc_id (null if all ids are null); ``n_links``
     counts the other rows linked to one.  Null texts count as empty; texts
     without words are linked to equal texts only.  Repeated rows and ids are
-    separate documents.  Columns besides doc_id and text are not read.
+    separate documents.  Columns besides doc_id and text are not read.  Very long
+    texts are worked on whole; the shingles of a text must fit a task twice.
     """
     classes, links = similar_texts(docs)
     classed = _with_classes(docs, classes, ["doc_id"])
@@ -402,4 +403,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``near_duplicates`` of ``documents``, a row per row; nulls, empty texts and repeated rows as
+    there."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -152,9 +152,10 @@ _SPANS = "array<struct<start:int,kind:int,end:int>>"
 _EDGES = "array<struct<start:int,kind:int,end:int,instance:string,patterns:array<long>>>"
 
 
-def _scan(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """``keep``, ``_dq_row``, ``_dq_base`` and ``_dq_edges`` per document."""
-    source = docs.select(*keep, text_of().alias("_dq_text")).withColumn("_dq_row", F.monotonically_increasing_id())
+def _scan(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep``, ``_dq_row``, ``_dq_base`` and ``_dq_edges`` per document; ``docs`` has
+    ``keep`` and ``_dq_text``."""
+    source = docs.withColumn("_dq_row", F.monotonically_increasing_id())
     order = [*keep, "_dq_row", "_dq_text"]
     schema = source.select(*keep, "_dq_row", F.lit(None).cast(_SPANS).alias("_dq_base"), F.lit(None).cast(_EDGES).alias("_dq_edges")).schema
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
@@ -247,17 +248,22 @@ def find_personal(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rounds:
     structs of start, kind (index into KINDS) and end, in code points.
 
     A row per input row, repeated rows included; null and empty texts have no
-    spans.  Found context spans never overlap base spans.  Names in ``keep``
-    must not begin with ``_dq_``.
+    spans.  Found context spans never overlap base spans.  A very long text is
+    one row of at most its own size and its spots.  Columns in ``keep`` may have
+    any names.
     """
-    scanned = written(_scan(docs, keep), "pii-scan")
+    inner = [f"_dq_kept{k}" for k in range(len(keep))]
+    plain = docs.select(*[docs[c].alias(n) for c, n in zip(keep, inner, strict=True)], text_of().alias("_dq_text"))
+    outer = [F.col(n).alias(c) for c, n in zip(keep, inner, strict=True)]
+    scanned = written(_scan(plain, inner), "pii-scan")
     spots = scanned.select("_dq_row", F.explode("_dq_edges").alias("e")).select("_dq_row", "e.*")
     edges = spots.select("kind", "instance", F.explode("patterns").alias("pattern"))
-    patterns = edges.select("pattern", "instance").distinct().groupBy("pattern").count().where(F.col("count") >= MIN_INSTANCES)
+    several = edges.select("pattern", "instance").distinct().groupBy("pattern").count().where(F.col("count") >= MIN_INSTANCES)
+    patterns = written(several, "pii-patterns")
     packed = bit_filter(patterns, "pattern")
     base = F.col("_dq_base")
     if not packed.any():
-        return scanned.select(*keep, base.alias(into))
+        return scanned.select(*outer, base.alias(into))
     occurrences = spots.groupBy("instance").agg(F.count(F.lit(1)).alias("occurs"))
     known = _bootstrap(edges, _pattern_totals(docs, packed).join(patterns, "pattern", "left_semi"), occurrences, rounds)
     gained = written(
@@ -269,7 +275,7 @@ def find_personal(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rounds:
     )
     nothing = F.array().cast(_SPANS)
     return scanned.join(gained, "_dq_row", "left").select(
-        *keep, F.array_sort(F.concat(base, F.coalesce("_dq_gained", nothing))).alias(into)
+        *outer, F.array_sort(F.concat(base, F.coalesce("_dq_gained", nothing))).alias(into)
     )
 
 
@@ -294,14 +300,19 @@ def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             out.append("".join(parts) + t[at:])
         return pd.Series(out, dtype=object)
 
-    found = find_personal(docs, columns, rounds, into="_dq_found")
-    changed = found.withColumn("text", F.when(F.size("_dq_found") > 0, replaced("text", "_dq_found")).otherwise(F.col("text")))
+    into = "_dq_found"
+    while into in columns:
+        into += "_"
+    found = find_personal(docs, columns, rounds, into)
+    changed = found.withColumn("text", F.when(F.size(into) > 0, replaced("text", into)).otherwise(F.col("text")))
     if "n_chars" in columns:
-        changed = changed.withColumn("n_chars", F.when(F.size("_dq_found") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        changed = changed.withColumn("n_chars", F.when(F.size(into) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return changed.select(*columns)
 
 
 def op9_find_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``find_personal`` of ``documents``, a row per row, with counts and a digest of the base
+    kinds; no spans give the digest of nothing."""
     found = F.col("found")
     names = F.array(*[F.lit(k) for k in KINDS])
     shown = lambda spans: F.array_join(

@@ -234,6 +234,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model fitted on the labelled rows that are not held out, and its score of every row of
+    ``documents``; a null doc_id is held out, null texts score as empty."""
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, table(spark, sf_dir, "labels"))
     return score_quality(docs, model).select(

@@ -195,7 +195,8 @@ def _settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
 def _with_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``key``, ``text`` and ``rows`` (array of structs of the other columns) of
     the distinct texts that ``rows`` names.  Texts that a filter of bounded size
-    rules out are not sent anywhere."""
+    rules out are not sent anywhere.  A text and its rows, at most one in 128 of
+    its bytes, are one row and must fit a task."""
     head = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")
     packed = bit_filter(rows.select(head.alias("h")).distinct(), "h")
 
@@ -334,6 +335,8 @@ def remove_repeats(docs: DataFrame, of_rest: Callable[[Column], Column] = lambda
 
 
 def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``remove_repeats`` of ``documents``, as counts and a digest of the rest; nulls,
+    ties and repeated rows as there."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return remove_repeats(table(spark, sf_dir, "documents"), lambda data: F.sha2(data, 256)).select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.col("kept").alias("kept_sha256")

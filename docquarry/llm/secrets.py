@@ -133,6 +133,8 @@ def scan_secrets(docs: DataFrame, scope_chars: int = SCOPE_CHARS) -> DataFrame:
 
 
 def op2_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``scan_secrets`` of ``documents``, a row per row, with counts and a digest of the base kinds;
+    no spans give the digest of nothing."""
     found = F.col("found")
     names = F.array(*[F.lit(k[0]) for k in KINDS])
     is_base = lambda s: s["rank"] < len(BASE)

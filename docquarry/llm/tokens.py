@@ -137,7 +137,7 @@ def scan_token_files(
 def count_tokens(docs: DataFrame, ranks: str = RANKS, separator: int = SEPARATOR) -> DataFrame:
     """``doc_id`` and ``n_tokens`` per row, by way of token files in the shared
     folder.  Null texts have 0 tokens; repeated rows are counted each; other
-    columns are not read."""
+    columns are not read.  A very long text is tokenised whole, in one piece."""
     directory = f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
     manifest = write_token_files(docs, directory, ranks, separator)
     if manifest.isEmpty():
@@ -147,4 +147,5 @@ def count_tokens(docs: DataFrame, ranks: str = RANKS, separator: int = SEPARATOR
 
 
 def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``count_tokens`` of ``documents``, a row per row; null and empty texts have no tokens."""
     return count_tokens(table(spark, sf_dir, "documents"))
