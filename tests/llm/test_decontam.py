@@ -100,3 +100,58 @@ def test_number_heavy_items_as_they_are(spark):
     edge = "1 2 3 4 5 6 7 and so the sum of all is even"
     texts = [*sums, f"so: {sums[0].upper()} ?", f"{sums[1]}\n{sums[2]}", edge, sums[0].replace("11", "12"), sums[1].replace("7", "8"), "12 34 56 79"]
     assert leaks(spark, texts, *sums, edge) == {(0, 0): "exact", (1, 1): "exact", (2, 2): "exact", (3, 0): "exact", (4, 1): "exact", (4, 2): "exact", (5, 3): "exact"}
+
+
+def aligned(text, item):
+    """The kind by brute force: the item is laid over every place of the text, and
+    windows of eight tokens that agree there, as they are or but for numbers and
+    names, must cover thirteen."""
+    words, wanted = decontam._TOKEN.findall(text), decontam._TOKEN.findall(item)
+    n, best = len(wanted), None
+    for a in range(len(words) - n + 1):
+        pairs = list(zip(words[a : a + n], wanted))
+        same = [x.lower() == y.lower() for x, y in pairs]
+        number = [x[0].isdigit() and y[0].isdigit() for x, y in pairs]
+        name = [x.istitle() and y.istitle() for x, y in pairs]
+        unit = [k > 0 and number[k - 1] and same[k] and pairs[k][0].lower() in decontam.UNITS for k in range(n)]
+        shaped = set()
+        for slots in (number, [p or q for p, q in zip(number, name)]):
+            for k in range(n - 7):
+                at = range(k, k + 8)
+                if all(slots[i] or same[i] for i in at) and sum(not slots[i] and not unit[i] for i in at) >= 4:
+                    shaped |= {(i, slots is number) for i in at}
+        as_is = {i for k in range(n - 7) if all(same[k : k + 8]) for i in range(k, k + 8)}
+        if len(as_is) >= min(13, n):
+            return "exact"
+        places = {i for i, _ in shaped}
+        held = {(pairs[i][1].lower(), pairs[i][0].lower()) for i in places if number[i] or name[i] and (i, False) in shaped}
+        if len(places) >= min(13, n) and len({y for y, _ in held}) == len(held):
+            best = "reparameterised"
+    return best
+
+
+def test_reparameterised_items_equal_brute_force(spark):
+    rng = random.Random(17)
+    told = [
+        "if Anna buys {} ripe apples for {} dollars and then gives {} of them to Peter how many does Anna keep",
+        "a slow train leaves town with {} people and takes on {} more at each of {} stops how many arrive",
+    ]
+    items = [told[0].format(12, 30, 12), told[1].format(40, 7, 5)]
+    texts = []
+    for _ in range(90):
+        parts = [cases.prose(rng, rng.randrange(12, 30))]
+        for _ in range(rng.choice([1, 1, 2])):
+            k = rng.randrange(2)
+            same = rng.randrange(100, 999)
+            values = rng.choice([(12, 30, 12), (40, 7, 5), (same, 88, same), (same, 88, 77), (3, 4, 5)])
+            one = told[k].format(*values)
+            if rng.random() < 0.4:
+                other = rng.choice(["Clara", "Boris"])
+                one = one.replace("Anna", other, rng.choice([1, 2, 2]))
+            parts += [one, cases.prose(rng, rng.randrange(12, 30))]
+        texts.append(" ".join(parts))
+    wanted = {(d, i): k for d, t in enumerate(texts) for i, item in enumerate(items) if (k := aligned(t, item))}
+    got = leaks(spark, texts, *items)
+    assert got == wanted
+    kinds = list(wanted.values())
+    assert kinds.count("exact") > 10 and kinds.count("reparameterised") > 10 and len(wanted) < 2 * len(texts)

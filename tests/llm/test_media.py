@@ -1,5 +1,6 @@
 import hashlib
 import io
+import random
 import wave
 import zlib
 
@@ -81,3 +82,64 @@ def test_feature_is_of_the_stored_tensors(monkeypatch):
     monkeypatch.setattr(media, "tensors_to_ipc", other)
     changed = media.audio_row("some text " * 900)
     assert changed[2] == stored[0] and changed[-1] != plain[-1] and changed[3:-1] == plain[3:-1]
+
+
+def plain_feature(text: str) -> tuple[np.ndarray, list[tuple[int, int]], int]:
+    """Tensors, spans and frames by loops over samples, frames and filters."""
+    data = text.encode()
+    data += b"\xff" * (max(1, -(-len(data) // 576)) * 576 - len(data))
+    x = [(b - 128) / 128 for b in data]
+    taps = [np.sinc((k - 7.5) / 2) / 2 * (0.54 - 0.46 * np.cos(2 * np.pi * k / 15)) for k in range(16)]
+    taps = [t / sum(taps) for t in taps]
+    y = [sum(taps[k] * x[n - k] for k in range(16) if n >= k) for n in range(0, len(x), 2)]
+    y += [0.0] * (256 - len(y))
+    window = [0.5 - 0.5 * np.cos(2 * np.pi * k / 255) for k in range(256)]
+    edges = [700 * (10 ** (m / 2595) - 1) for m in np.linspace(0, 2595 * np.log10(1 + 4000 / 700), 22)]
+    rows, energy = [], []
+    for a in range(0, len(y) - 255, 128):
+        frame = np.array(y[a : a + 256])
+        power = np.abs(np.fft.rfft(frame * window)) ** 2
+        energy.append(float((frame**2).mean()))
+        row = []
+        for m in range(20):
+            low, mid, high = edges[m : m + 3]
+            total = 0.0
+            for k, p in enumerate(power):
+                hz = k * 8000 / 256
+                total += p * max(0.0, min((hz - low) / (mid - low), (high - hz) / (high - mid)))
+            row.append(np.log(total + 1e-6))
+        rows.append(row)
+    level, spans, begun = float(np.median(np.array(energy, np.float32))), [], None
+    for k, e in enumerate(energy):
+        if begun is None and e >= 1.15 * level:
+            begun = k
+        elif begun is not None and e < 0.9 * level:
+            spans.append((begun, k))
+            begun = None
+    if begun is not None:
+        spans.append((begun, len(energy)))
+    spans = spans or [(0, len(energy))]
+    parts = []
+    for a, b in spans:
+        for k in range(4):
+            first = a + (b - a) * k // 4
+            last = min(max(a + (b - a) * (k + 1) // 4, first + 1), len(rows))
+            parts.append(np.mean(rows[min(first, last - 1) : last], axis=0))
+    return np.array(parts).reshape(len(spans), 4, 20), [(a * 16, b * 16 + 16) for a, b in spans], len(energy)
+
+
+def test_features_equal_loops():
+    texts = ["", "abc", "short text " * 30, "Quiet words, then LOUD ONES!!! " * 60, "éü中" * 700]
+    texts += [r[1] for r in cases.rows()[8:10]]
+    words = cases.prose(random.Random(3), 2000)
+    texts.append("".join(words[a : a + 1500].upper() if a % 3000 else words[a : a + 1500] for a in range(0, 9000, 1500)))
+    several = 0
+    for text in texts:
+        values, spans, frames = plain_feature(text)
+        row = media.audio_row(text)
+        got, times = media.tensors_from_ipc(row[2])
+        assert np.allclose(got, values, atol=2e-2) and times == spans
+        quiet = zlib.crc32(np.round(got * 8).astype("<i2").tobytes())
+        assert row[-1] == f"frames={frames};segments={len(spans)};span_ms={sum(b - a for a, b in spans)};mel={quiet:08x}"
+        several += len(spans) > 1
+    assert several
