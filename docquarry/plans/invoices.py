@@ -1,7 +1,7 @@
 """Invoices rendered from orders, read back by their labels, gated and routed.
 
-One order in ten stands for each scenario (by key), so every gate has something
-to find; the oracle works out the outcomes from the columns alone.
+One order in ten stands for each scenario (by key), and the last tenth for a few
+more, so every gate has something to find; the oracle works out the outcomes from the columns alone.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docquarry.functions import gates, text
 from docquarry.operators.ledger import unique_commit
 from docquarry.plans.bindings import ledger, read
+from docquarry.plans.stored import stored
 
 GOOD_IBAN, BAD_IBAN = "GB82WEST12345698765432", "GB83WEST12345698765432"
 
@@ -23,7 +24,7 @@ item AS (SELECT l_orderkey, l_linenumber, max(CAST(CAST(l_extendedprice AS DECIM
 per_order AS (SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n_items, CAST(sum(amount) AS BIGINT) AS items_cents,
                      CAST(sum((amount * rate - (amount * rate) % 100) / 100) AS BIGINT) AS tax
               FROM item GROUP BY l_orderkey),
-base AS (SELECT o_orderkey AS doc_id, o_orderkey % 10 AS bucket, CAST(o_custkey AS VARCHAR) AS vendor,
+base AS (SELECT o_orderkey AS doc_id, o_orderkey % 10 AS bucket, CASE WHEN o_orderkey % 10 = 9 THEN o_orderkey // 10 % 4 END AS odd, CAST(o_custkey AS VARCHAR) AS vendor,
                 'INV-' || (o_orderkey % 500) AS invoice_no, o_orderdate, n_items, items_cents, tax, items_cents + tax AS total
          FROM orders JOIN per_order ON l_orderkey = o_orderkey)
 """
@@ -88,15 +89,26 @@ def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(record["total_cents"])
     )
     swapped = bucket == 3
+    odd = lambda k: (bucket == 9) & (F.expr("doc_id DIV 10 % 4") == k)
+    due = F.when(odd(2), F.lit("soon")).when(odd(3), F.date_format(F.date_add(F.to_date(record["invoice_date"]), 400), "yyyy-MM-dd")).otherwise(record["due_date"])
     return plain.withColumn(
         "record",
         record.withField("total_cents", total)
+        .withField("iban", F.when(odd(1), F.lit("GB82!EST12345698765432")).otherwise(record["iban"]))
+        .withField("due_date", due)
         .withField("seller", F.when(swapped, record["buyer"]).otherwise(record["seller"]))
         .withField("buyer", F.when(swapped, record["seller"]).otherwise(record["buyer"])),
     )
 
 
 def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate results of all documents with their records, worked out once for
+    the tables as they are and kept: nine queries read them."""
+    inputs = [f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem")]
+    return stored(spark, "gate-results", inputs, lambda: judged(spark, sf_dir).drop("source_text"))
+
+
+def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adds a struct per gate.  The duplicate search is a hash join on vendor and
     number with the complete documents; several matches aggregate to the least."""
     docs = extracted(spark, sf_dir)
@@ -128,7 +140,7 @@ GATES = ("grounding", "arithmetic", "iban_mod97", "plausibility", "business_dedu
 def routed(spark: SparkSession, sf_dir: str, auto_post: bool = True) -> DataFrame:
     """``doc_id`` and ``outcome`` of every document: incomplete, gates exhausted,
     held by the kill switch, duplicate at commit, or complete."""
-    judged = gated(spark, sf_dir)
+    told = gated(spark, sf_dir)
     expected = F.col("n_items") + F.when(F.col("doc_id") % 7 == 3, 1).otherwise(0)
     whole = gates.completeness(text.page_range(F.col("n_items")), expected)["outcome"] == "pass"
     early = (
@@ -138,7 +150,7 @@ def routed(spark: SparkSession, sf_dir: str, auto_post: bool = True) -> DataFram
     )
     # only documents that would complete compete for their vendor and number
     running = early.isNull()
-    keyed = judged.select(
+    keyed = told.select(
         "doc_id",
         early.alias("early"),
         F.when(running, F.col("record.seller")).alias("seller"),
@@ -159,8 +171,8 @@ gate AS (
     CASE WHEN bucket = 1 THEN 'fail' ELSE 'pass' END AS grounding,
     CASE bucket WHEN 8 THEN 'not_applicable' WHEN 2 THEN 'inconclusive' WHEN 4 THEN 'fail' WHEN 5 THEN 'inconclusive' WHEN 0 THEN 'fail' WHEN 1 THEN 'fail' ELSE 'pass' END AS arithmetic,
     CASE bucket WHEN 8 THEN NULL WHEN 2 THEN 'no_line_items' WHEN 4 THEN 'subtotal_mismatch' WHEN 5 THEN 'total_missing' WHEN 0 THEN 'total_mismatch' WHEN 1 THEN 'total_mismatch' END AS arithmetic_detail,
-    CASE WHEN bucket = 6 THEN 'fail' ELSE 'pass' END AS iban_mod97,
-    CASE WHEN bucket = 5 THEN 'fail' ELSE 'pass' END AS plausibility,
+    CASE WHEN bucket = 6 OR odd = 1 THEN 'fail' ELSE 'pass' END AS iban_mod97,
+    CASE WHEN bucket = 5 OR odd IN (2, 3) THEN 'fail' ELSE 'pass' END AS plausibility,
     CASE WHEN bucket = 7 THEN 'not_applicable' WHEN d.duplicate_of IS NOT NULL THEN 'fail' ELSE 'pass' END AS business_dedupe
   FROM base b LEFT JOIN dup d ON d.doc_id = b.doc_id),
 early AS (

@@ -377,8 +377,8 @@ def _gate(name: str, detail: str):
 
 _gate("grounding", "CASE WHEN bucket = 1 THEN 'total_cents' END")
 _gate("arithmetic", "arithmetic_detail")
-_gate("iban_mod97", "CASE WHEN bucket = 6 THEN 'checksum_mismatch' END")
-_gate("plausibility", "CASE WHEN bucket = 5 THEN 'total_missing' END")
+_gate("iban_mod97", "CASE WHEN bucket = 6 THEN 'checksum_mismatch' WHEN odd = 1 THEN 'malformed_iban' END")
+_gate("plausibility", "CASE WHEN bucket = 5 THEN 'total_missing' WHEN odd = 2 THEN 'unparseable_dates' WHEN odd = 3 THEN 'due_date_out_of_range' END")
 _gate("business_dedupe", "CAST(duplicate_of AS VARCHAR)")
 
 

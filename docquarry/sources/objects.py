@@ -59,6 +59,21 @@ def delete_prefix(spark: SparkSession, path: str) -> bool:
     return bool(system.delete(where, True))
 
 
+def rename(spark: SparkSession, path: str, other: str) -> bool:
+    """Move a file or folder; false if something is there already."""
+    system, where = _file_system(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(other)
+    return not system.exists(target) and bool(system.rename(where, target))
+
+
+def file_facts(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, length and time of the files at ``path``, in order; only the listing
+    is read."""
+    system, where = _file_system(spark, path)
+    found = system.listStatus(where)
+    return sorted((str(f.getPath()), int(f.getLen()), int(f.getModificationTime())) for f in found)
+
+
 def ensure_folder(spark: SparkSession, path: str) -> None:
     """Create a bucket or topic folder if it is missing."""
     system, where = _file_system(spark, path)
