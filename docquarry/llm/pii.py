@@ -88,7 +88,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 #: First parts of the patterns of one word, in place of another word.
 BEFORE, AFTER = "\x00before", "\x00after"
 _MARK = re.compile(r"\s*([:=#]+)")
-_MARKED = re.compile(r"([^\W\d_]+)\s*([:=#]+)")
+_MARKS, _LETTER = re.compile(r"[:=#]+"), re.compile(r"[^\W\d_]")
 
 
 def patterns_of(text: str, spans: list[tuple[int, int]]) -> list[list[tuple[str, str]]]:
@@ -139,12 +139,28 @@ def graph_edges(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     return [(a, kind, b, text[a:b].lower(), told) for (a, kind, b), told in zip(spots, around, strict=True) if told]
 
 
+def marked_words(text: str) -> list[tuple[str, str]]:
+    """Each run of separators and the word that ends before it, blanks apart.  The
+    search is for the separators, which are few, and looks back from them."""
+    out = []
+    for m in _MARKS.finditer(text):
+        end = m.start()
+        while end and text[end - 1].isspace():
+            end -= 1
+        at = end
+        while at and _LETTER.match(text, at - 1):
+            at -= 1
+        if at < end:
+            out.append((m[0], text[at:end]))
+    return out
+
+
 def all_patterns(text: str, hashes: WordHashes) -> np.ndarray:
     """Hashes of all patterns that the words of a text could give to something."""
     low = text.lower()
     words = hashes.of(_WORD.findall(low))
     alone = [mix(hashes.of([part]) * M1 + words) for part in (BEFORE, AFTER)]
-    marked = [windows(hashes.of(["\x00" + mark, word]), 2) for word, mark in _MARKED.findall(low)]
+    marked = [windows(hashes.of(["\x00" + mark, word]), 2) for mark, word in marked_words(low)]
     return np.concatenate([windows(words, 2), *alone, *marked])
 
 

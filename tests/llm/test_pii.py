@@ -159,3 +159,12 @@ def test_unseen_identifiers_by_all_patterns(spark):
     print(f"planted {len(wanted)}, look-alikes {others}, found {len(found)}, precision {hits / len(found):.3f}, recall {hits / len(wanted):.3f}")
     # cues that stand before unseen ones as often as before seeds are not trusted
     assert hits >= 0.95 * len(found) and hits >= 0.75 * len(wanted)
+
+
+def test_marked_words_equal_the_plain_expression():
+    rng = random.Random(4)
+    for _ in range(5000):
+        text = "".join(rng.choice("ab: =#1_\n²é") for _ in range(rng.randrange(30)))
+        plain = [(m, w) for w, m in re.findall(r"([^\W\d_]+)\s*([:=#]+)", text)]
+        assert pii.marked_words(text) == plain, text
+    assert len(pii.marked_words(" " * 200_000 + "a" * 200_000 + ":")) == 1
