@@ -27,6 +27,14 @@ def _result(kind: str, message: Column | None = None, text: Column | None = None
     return F.struct(F.lit(kind).alias("kind"), (none if message is None else message).alias("message"), (none if text is None else text).alias("json"))
 
 
+def _is_one(text: Column) -> Column:
+    """Whether ``text`` is one JSON value and nothing else.  The parser lets pass what
+    follows a value, so it is given the only element of a list instead."""
+    return bind(
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), lambda v: v.isNotNull() & F.try_variant_get(v, "$[1]", "variant").isNull()
+    )
+
+
 def parse_reply(raw: Column) -> Column:
     """struct of ``kind`` (ok, refusal, unparseable), ``message`` and ``json``, the
     object's text.  A fenced object goes before the widest pair of braces; of a
@@ -37,7 +45,7 @@ def parse_reply(raw: Column) -> Column:
     def judged(text: Column) -> Column:
         return (
             F.when(text == "", _result("unparseable", shown))
-            .when(F.try_parse_json(text).isNull(), _result("unparseable", F.concat(F.lit("invalid json: "), shown)))
+            .when(~_is_one(text), _result("unparseable", F.concat(F.lit("invalid json: "), shown)))
             .otherwise(_result("ok", None, text))
         )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,28 @@ def tier_results(calls: DataFrame) -> DataFrame:
     )
 
 
+#: What an attempt is followed by another one for, at the same tier.
+AGAIN = ("transient", "unparseable", "schema_invalid")
+
+
+def call_tier(documents: DataFrame, tier: int, extract: Callable[[DataFrame], DataFrame], keep: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The calls that one tier makes for ``documents`` (``doc_id``, ``source_text``), as
+    ``tier_results`` takes them, and the ``record`` of those that gave one.
+
+    A reply that cannot be read or does not fit is asked for again with a hint, a
+    transient fault without; anything else settles the document.  ``keep`` writes
+    the calls of an attempt, so that none is made twice, whatever fails later.
+    """
+    waiting, calls, records = documents.select("doc_id", "source_text", F.lit(None).cast("string").alias("hint")), [], []
+    for attempt in range(1, CALLS + 1):
+        asked = waiting.withColumn("tier", F.lit(tier)).withColumn("attempt", F.lit(attempt))
+        told = keep(extract(asked))
+        calls.append(told.select("doc_id", "tier", F.col("attempt").alias("call"), F.coalesce("error", F.lit("ok")).alias("kind")))
+        records.append(told.where("error IS NULL").select("doc_id", "source_text", "record"))
+        waiting = told.where(F.col("error").isin(*AGAIN)).select("doc_id", "source_text", "hint")
+    return reduce(DataFrame.unionByName, calls), reduce(DataFrame.unionByName, records)
+
+
 def run_funnel(calls: DataFrame, blocked: DataFrame) -> DataFrame:
     """``doc_id``, ``outcome``, ``tier_used``, ``repairs``, ``retries``.
 

@@ -1,17 +1,25 @@
 """Extraction backends: rows of (doc_id, tier, attempt, source_text) in, rows with
 ``record`` and ``error`` out.
 
-The deterministic backend is all expressions.  A model behind a service fits
-the same protocol with ``mapInPandas``; none is called from here.
+The deterministic backend is all expressions.  The backend of a model behind a
+service makes its calls in Python, a batch of rows at a time; what their replies
+mean is again worked out by expressions.
 """
 
 from __future__ import annotations
 
+import json
+import urllib.error
+import urllib.request
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from docquarry.functions import replies
 from docquarry.functions.text import fields
 
 
@@ -54,3 +62,67 @@ class LabelExtractor:
             .withField("buyer", F.when(swapped, record["seller"]).otherwise(record["buyer"]))
         )
         return told.select(*requests.columns, F.when(error.isNull(), changed).alias("record"), error.alias("error"))
+
+
+#: (model, prompt) to (fault or None, status or None, body).
+Call = Callable[[str, str], tuple[str | None, int | None, str]]
+
+
+def http_call(base_url: str, key: str, timeout: float = 200) -> Call:
+    """Calls to a service that speaks the chat-completions protocol.  Temperature 0
+    keeps repeated calls close together."""
+
+    def call(model: str, prompt: str) -> tuple[str | None, int | None, str]:
+        body = {"model": model, "messages": [{"role": "user", "content": prompt}], "temperature": 0}
+        head = {"Authorization": f"Bearer {key}", "Content-Type": "application/json"}
+        request = urllib.request.Request(f"{base_url}/chat/completions", json.dumps(body).encode(), head)
+        try:
+            with urllib.request.urlopen(request, timeout=timeout) as reply:
+                return None, reply.status, reply.read().decode()
+        except urllib.error.HTTPError as answer:
+            return None, answer.code, answer.read().decode(errors="replace")
+        except TimeoutError:
+            return "timeout", None, ""
+        except OSError as fault:
+            return ("timeout" if "timed out" in str(fault) else "connect_error"), None, ""
+
+    return call
+
+
+class ServiceExtractor:
+    """Asks a model for the record of each text.
+
+    ``models`` names the model of each tier; ``prompt`` makes the text to send
+    from the source text and the hint of the attempt before (or None).  Adds
+    ``record``, ``error`` (transient, context_overflow, refusal, unparseable,
+    schema_invalid, http_error; null for a record) and ``hint`` for the next
+    attempt.  Each evaluation calls the service again: write the result.
+    """
+
+    def __init__(self, call: Call, models: list[str], prompt: Callable[[str, str | None], str]):
+        self.call, self.models, self.prompt = call, models, prompt
+
+    def extract(self, requests: DataFrame) -> DataFrame:
+        call, models, prompt = self.call, self.models, self.prompt
+        columns = requests.columns
+        hinted = requests if "hint" in columns else requests.withColumn("hint", F.lit(None).cast("string"))
+
+        def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in batches:
+                told = [call(models[int(t)], prompt(text, hint)) for t, text, hint in zip(rows["tier"], rows["source_text"], rows["hint"], strict=True)]
+                fault, status, body = (list(x) for x in zip(*told, strict=True)) if told else ([], [], [])
+                yield rows.assign(_fault=pd.Series(fault, rows.index, dtype=object), _status=pd.Series(status, rows.index, dtype="Int32"), _body=pd.Series(body, rows.index, dtype=object))
+
+        schema = StructType([*hinted.schema.fields, StructField("_fault", StringType()), StructField("_status", IntegerType()), StructField("_body", StringType())])
+        told = hinted.mapInPandas(ask, schema)
+        content = F.get_json_object("_body", "$.choices[0].message.content")
+        failed = replies.call_error(F.col("_fault"), F.col("_status"), F.col("_body"))
+        read = told.select("*", failed.alias("_failed"), F.when(failed.isNull(), replies.parse_reply(content)).alias("_reply"))
+        checked = read.withColumn("_checked", replies.validate(F.col("_reply.json")))
+        error = F.coalesce(
+            F.col("_failed.kind"),
+            F.when(F.col("_reply.kind") != "ok", F.col("_reply.kind")),
+            F.when(F.col("_checked.outcome") == "fail", F.lit("schema_invalid")),
+        )
+        hint = replies.repair_hint(F.col("_reply.kind"), F.col("_reply.message"), F.col("_checked.errors"))
+        return checked.select(*[c for c in columns if c != "hint"], F.col("_checked.record").alias("record"), error.alias("error"), hint.alias("hint"))

@@ -1,8 +1,9 @@
 """A message queue on files: topics are folders, rows are messages.
 
 Delivery is at least once: a stream's offsets move on only after its batch is
-through, and sinks are idempotent.  A broker's connector can stand in for the
-file source where it is installed.
+through, and sinks are idempotent.  Where Spark has a broker's connector (its jar is
+not here, so this was not run), ``broker_stream`` and ``broker_deliver`` stand in for
+the files.
 """
 
 from __future__ import annotations
@@ -33,6 +34,28 @@ def subscribe(spark: SparkSession, root: str, topics: list[str] | None = None, f
     return stream.where(F.col("topic").isin(*topics)) if topics else stream
 
 
+def broker_stream(spark: SparkSession, servers: str, topics: list[str], per_batch: int = 100_000) -> DataFrame:
+    """The same messages from a broker, where Spark has its connector.  The place of
+    a message in its topic is its id; its key is the document."""
+    stream = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", ",".join(topics))
+    found = stream.option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", per_batch).load()
+    place = F.shiftleft(F.col("partition").cast("long"), 48) + F.col("offset")
+    return found.select(
+        place.alias("id"), F.col("key").cast("string").cast("long").alias("doc_id"), "topic", F.col("value").cast("string").alias("payload"), F.col("timestamp").alias("created_at")
+    )
+
+
+def broker_deliver(servers: str) -> Callable[[DataFrame, int], int]:
+    """What ``relay`` hands batches to: they are written to the broker or raise."""
+
+    def deliver(batch: DataFrame, number: int) -> int:
+        told = batch.select("topic", F.col("doc_id").cast("string").alias("key"), F.col("payload").alias("value"))
+        told.write.format("kafka").option("kafka.bootstrap.servers", servers).option("kafka.acks", "all").save()
+        return batch.count()
+
+    return deliver
+
+
 def decoded(messages: DataFrame, schema: str) -> DataFrame:
     """Payloads parsed; a message that is no such JSON gives null fields."""
     return messages.select("id", "doc_id", "topic", F.from_json("payload", schema).alias("body"))
