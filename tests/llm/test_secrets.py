@@ -86,3 +86,37 @@ def test_contract_columns_and_no_rows(spark, tmp_path):
     assert got[1]["base_sha256"] == hashlib.sha256(b"assign:0:17").hexdigest()
     assert (got[2]["spans"], got[2]["base_sha256"]) == ("", hashlib.sha256(b"").hexdigest())
     assert secrets.scan_secrets(cases.empty(spark)).count() == 0
+
+
+def test_planted_credentials(spark):
+    """Weak parts beside what completes them are told; the same parts alone, or too
+    far away, are not."""
+    import random
+
+    rng = random.Random(5)
+    chars = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    told, total, texts = set(), 0, []
+    for k in range(400):
+        key = "".join(rng.choice(chars) for _ in range(26)) + "aZ7"
+        login, url = f"client_id: user{k:04d}", f"https://api{k}.example.net/v1"
+        access = "AKIA" + "".join(rng.choice("ABCDEFGHIJ0123456789") for _ in range(16))
+        far = " plain words only" * 20
+        parts = [
+            [(login, True), (key, True)],
+            [(access, False), (key, True), (url, True)],
+            [(url, False), (far, False), (login, False)],
+            [(login, False)],
+            [(key, False)],
+            [(key, False), (far, False), (login, False)],
+        ][k % 6]
+        text = "some words before "
+        for part, complete in parts:
+            if complete:
+                told.add((k, len(text), len(text) + len(part)))
+            total += part in (login, key, url)
+            text += part + " and "
+        texts.append((k, text))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    weak = {(r["doc_id"], s["start"], s["end"]) for r in secrets.scan_secrets(docs).collect() for s in r["found"] if s["rank"] >= len(secrets.BASE)}
+    print(f"weak parts {total}, completed {len(told)}, told {len(weak)}, right {len(weak & told)}")
+    assert weak == told and len(told) > 250 and total > 600
