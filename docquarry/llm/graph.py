@@ -45,7 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def star_components(stars: DataFrame) -> DataFrame:
     """``node`` and ``component`` for all nodes of ``stars``, whose rows tie a
-    ``node`` to a ``center``; a center must have a row as a node, too.
+    ``node`` to a ``center``; every center must have a row with itself, too.
 
     Before anything is joined, each node falls to its least center, and only the
     different pairs of a least and another center go on: many nodes that share
