@@ -135,8 +135,8 @@ def test_components(spark, edges):
 
 
 def test_chains_are_compared_by_bucket(spark, monkeypatch):
-    words = cases.prose(random.Random(11), 400).split()
-    texts = [" ".join(words[6 * k : 6 * k + 100]) for k in range(45)]
+    words = cases.prose(random.Random(11), 1600).split()
+    texts = [" ".join(words[6 * k : 6 * k + 100]) for k in range(240)]
     rows = list(enumerate(texts + texts[:3]))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     widths = []
