@@ -18,10 +18,9 @@ def stored(spark: SparkSession, name: str, inputs: list[str], build: Callable[[]
     it.  A table appears whole, by a rename, so readers never see a part of it."""
     facts = repr([file_facts(spark, path) for path in inputs])
     folder = f"{shared_dir(spark)}/{name}-{hashlib.sha256(facts.encode()).hexdigest()[:32]}"
-    frame = build()
     if not exists(spark, folder):
         fresh = f"{folder}-{uuid.uuid4().hex}"
-        frame.write.parquet(fresh)
+        build().write.parquet(fresh)
         if not rename(spark, fresh, folder):
             folder = fresh
-    return spark.read.schema(frame.schema).parquet(folder)
+    return spark.read.parquet(folder)  # its files have the schema, so the plan is not made again
