@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docquarry.llm import chat, decontam, media, mixing, neardup, pii, quality, repeats, secrets, tokens
+from docquarry.llm import bpe, chat, decontam, fim, media, mixing, neardup, pii, quality, repeats, runs, secrets, tokens
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -15,9 +15,13 @@ QUERIES = {
     "op8_remove_repeats": repeats.op8_remove_repeats,
     "op9_find_personal": pii.op9_find_personal,
     "op10_audio_features": media.op10_audio_features,
+    "op11_byte_bpe": bpe.op11_byte_bpe,
+    "op12_periodic_runs": runs.op12_periodic_runs,
+    "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 
 ORACLE_SQL = {
     "op2_scan_secrets": secrets.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
+    "op13_fill_in_middle": fim.ORACLE,
 }
