@@ -25,6 +25,14 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """``docs`` with its columns under names of ours, the new name of each, and
+    what gives them their own back.  Between the two, columns that an operator
+    adds cannot clash with any that the caller has."""
+    names = {c: f"_dq_kept{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names, [F.col(n).alias(c) for c, n in names.items()]
+
+
 def tuned(spark: SparkSession) -> SparkSession:
     """For applications, as the registered queries are: where the session still
     has Spark's own limits, hand Python at most 1000 rows or 16 MB at a time.

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import in_arrow, table, text_of
+from docquarry.llm.common import aside, in_arrow, table, text_of
 
 WIDTH = 4
 FILTERS = 16
@@ -27,9 +27,10 @@ CHUNK = 512
 #: Neighbouring chunks share this many bytes.
 OVERLAP = 64
 #: Bound of the training sample: so many labelled rows of each class, by hash
-#: of the id, and so many chunks of each, evenly over the whole text.
+#: of the id; all chunks of their texts are learned from.
 TRAIN_ROWS_PER_CLASS = 800
-TRAIN_CHUNKS = 16
+#: Chunks whose filter values are held at a time.
+BLOCK = 128
 EPOCHS = 12
 THRESHOLD = 0.3
 SEED = 7
@@ -69,7 +70,7 @@ def _pairs(chunks: np.ndarray) -> np.ndarray:
     return (chunks[:, :-1].astype(np.int32) << 8) | chunks[:, 1:]
 
 
-def pooled(chunks: np.ndarray, tables: tuple[np.ndarray, np.ndarray], bias: np.ndarray, block: int = 128) -> np.ndarray:
+def pooled(chunks: np.ndarray, tables: tuple[np.ndarray, np.ndarray], bias: np.ndarray, block: int = BLOCK) -> np.ndarray:
     """Max-pooled, rectified filters of each chunk."""
     out = np.empty((len(chunks), FILTERS), np.float32)
     for at in range(0, len(chunks), block):
@@ -89,10 +90,55 @@ def combine(features: np.ndarray, starts: np.ndarray, model: Model) -> np.ndarra
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _largest(chunks: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each filter is largest in each chunk, and its value there, a block of
+    chunks at a time."""
+    where = np.empty((len(chunks), FILTERS), np.int64)
+    value = np.empty((len(chunks), FILTERS))
+    for at in range(0, len(chunks), BLOCK):
+        codes = _pairs(chunks[at : at + BLOCK])
+        total = tables[0].take(codes[:, : CHUNK - WIDTH + 1], axis=0)
+        total += tables[1].take(codes[:, 2 : CHUNK - WIDTH + 3], axis=0)
+        best = total.argmax(axis=1)
+        where[at : at + BLOCK] = best
+        value[at : at + BLOCK] = np.take_along_axis(total, best[:, None, :], axis=1)[:, 0, :]
+    return where, value
+
+
+def gradients(model: Model, offset: float, chunks: np.ndarray, starts: np.ndarray, labels: np.ndarray, importance: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    """The loss of a batch (weighed cross-entropy and a small weight on ``out``) and
+    its gradient by weights, bias, out and offset.  The gradient of a max-pool
+    reaches only the position that was largest."""
+    sizes = np.diff(np.append(starts, len(chunks)))
+    where, value = _largest(chunks, model.tables())
+    raw = value + model.bias
+    features = np.maximum(raw, 0)
+    mean = np.add.reduceat(features, starts, axis=0) / sizes[:, None]
+    most = np.maximum.reduceat(features, starts, axis=0)
+    x = np.concatenate([mean, most], axis=1)
+    z = np.clip(x @ model.out + offset, -30, 30)
+    p = 1 / (1 + np.exp(-z))
+    share = importance / len(labels)
+    loss = float((share * (np.logaddexp(0, z) - labels * z)).sum() + 0.5e-4 * (model.out**2).sum())
+    error = (p - labels) * share
+    back = np.repeat(error[:, None] * model.out[:FILTERS] / sizes[:, None], sizes, axis=0)
+    of = np.repeat(np.arange(len(labels)), sizes)
+    # neighbouring chunks may share the place that is largest, and then share its slope
+    largest = (features == most[of]).astype(np.float64)
+    largest /= np.add.reduceat(largest, starts, axis=0)[of]
+    back += largest * (error[:, None] * model.out[FILTERS:])[of]
+    back *= raw > 0
+    weights = np.zeros_like(model.weights)
+    filters = np.broadcast_to(np.arange(FILTERS), where.shape)
+    rows = np.arange(len(chunks))[:, None]
+    for k in range(WIDTH):
+        np.add.at(weights[k], (chunks[rows, where + k], filters), back)
+    return loss, [weights, back.sum(0), x.T @ error + 1e-4 * model.out, error.sum(keepdims=True)]
+
+
 def train(documents: list[tuple[list[bytes], int]], prior: float, epochs: int = EPOCHS, seed: int = SEED) -> Model:
     """Fit by Adam on (chunks, label) pairs, each class weighing as much as
-    ``prior`` (share of label 1) says.  The gradient of a max-pool reaches only
-    the position that was largest."""
+    ``prior`` (share of label 1) says."""
     rng = np.random.default_rng(seed)
     weights = rng.normal(0, 0.15, (WIDTH, 256, FILTERS))
     model = Model(weights, np.zeros(FILTERS), np.zeros(2 * FILTERS), 0.0)
@@ -117,30 +163,9 @@ def train(documents: list[tuple[list[bytes], int]], prior: float, epochs: int =
             chunks = np.concatenate([arrays[i] for i in batch])
             sizes = np.array([len(arrays[i]) for i in batch])
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            codes = _pairs(chunks)
-            tables = model.tables()
-            total = tables[0].take(codes[:, : CHUNK - WIDTH + 1], axis=0)
-            total += tables[1].take(codes[:, 2 : CHUNK - WIDTH + 3], axis=0)
-            where = total.argmax(axis=1)
-            raw = np.take_along_axis(total, where[:, None, :], axis=1)[:, 0, :].astype(np.float64) + model.bias
-            features = np.maximum(raw, 0)
-            mean = np.add.reduceat(features, starts, axis=0) / sizes[:, None]
-            most = np.maximum.reduceat(features, starts, axis=0)
-            x = np.concatenate([mean, most], axis=1)
-            p = 1 / (1 + np.exp(-np.clip(x @ model.out + offset[0], -30, 30)))
-            error = (p - labels[batch]) * importance[batch] / len(batch)
-            to_mean = error[:, None] * model.out[:FILTERS] / sizes[:, None]
-            back = np.repeat(to_mean, sizes, axis=0)
-            of = np.repeat(np.arange(len(batch)), sizes)
-            back += (features == most[of]) * (error[:, None] * model.out[FILTERS:])[of]
-            back *= raw > 0
-            gradient = np.zeros_like(model.weights)
-            filters = np.broadcast_to(np.arange(FILTERS), where.shape)
-            rows = np.arange(len(chunks))[:, None]
-            for k in range(WIDTH):
-                np.add.at(gradient[k], (chunks[rows, where + k], filters), back)
+            _, slopes = gradients(model, offset[0], chunks, starts, labels[batch], importance[batch])
             step += 1
-            for p_, g, m, v in zip(params, [gradient, back.sum(0), x.T @ error + 1e-4 * model.out, error.sum(keepdims=True)], first, second, strict=True):
+            for p_, g, m, v in zip(params, slopes, first, second, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 p_ -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -156,7 +181,7 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = TRAIN_ROWS_PER_CLASS) -> tuple[list, float]:
     """Chunks and labels to learn from, and the share of label 1 among all rows
     that may be learnt from.  At most ``rows_per_class`` ids of each class are
-    chosen by hash; only their texts are read out, as chunks."""
+    chosen by hash; only their texts are read out, whole, as chunks."""
     usable = labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     counts = {r["quality"]: r["count"] for r in usable.groupBy("quality").count().collect()}
     prior = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
@@ -172,9 +197,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = TR
             for i, q, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 data = text.encode()
                 count = max(1, -(-(len(data) - OVERLAP) // step))
-                at = np.unique(np.linspace(0, count - 1, min(count, TRAIN_CHUNKS)).astype(int)) * step
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([i], pa.int64()), pa.array([q], pa.int32()), pa.array([[data[a : a + CHUNK] for a in at]], pa.list_(pa.binary()))],
+                    [pa.array([i], pa.int64()), pa.array([q], pa.int32()), pa.array([[data[a : a + CHUNK] for a in range(0, count * step, step)]], pa.list_(pa.binary()))],
                     ["doc_id", "quality", "chunks"],
                 )
 
@@ -184,12 +208,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = TR
     return [([bytes(c) for c in r["chunks"]], r["quality"]) for r in found], prior
 
 
-def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",), into: str = "score") -> DataFrame:
-    """``columns`` of ``docs`` and the score as ``into``, a row per input row.
+def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",), into: str = "score", text: str = "text") -> DataFrame:
+    """``columns`` of ``docs`` and the score of column ``text`` as ``into``, a row per
+    input row.
 
     Null texts are scored as empty.  All chunks of a text count, however many;
-    they are worked off in blocks, so memory does not follow their number.
-    Equal texts score alike.
+    they are worked off in blocks, so memory does not follow their number, and a
+    very long text costs its length.  Equal texts score alike.
     """
     schema = docs.select(*columns).schema.add(into, "double")
     arrow_columns = list(columns)
@@ -212,8 +237,8 @@ def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("do
             if tables is None:
                 scores[:] = model.constant
             else:
-                for i, text in enumerate(texts):
-                    chunks = chunks_of((text.as_py() or "").encode())
+                for i, value in enumerate(texts):
+                    chunks = chunks_of((value.as_py() or "").encode())
                     starts.append(total)
                     held.append(chunks)
                     total += len(chunks)
@@ -224,8 +249,16 @@ def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("do
                 [batch.column(c) for c in range(len(arrow_columns))] + [pa.array(scores)], [*arrow_columns, into]
             )
 
-    where = arrow_columns.index("text") if "text" in columns else len(arrow_columns)
-    return docs.select(*columns, *([] if "text" in columns else ["text"])).transform(in_arrow(run, schema))
+    where = arrow_columns.index(text) if text in columns else len(arrow_columns)
+    return docs.select(*columns, *([] if text in columns else [text])).transform(in_arrow(run, schema))
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches ``threshold``, columns of any names
+    unchanged."""
+    plain, names, back = aside(docs)
+    scored = score_quality(plain, model, tuple(plain.columns), into="_dq_score", text=names["text"])
+    return scored.where(F.col("_dq_score") >= threshold).select(*back)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:

@@ -53,6 +53,35 @@ def test_network_equals_direct_convolution():
     assert np.allclose(got, 1 / (1 + np.exp(-z)), atol=1e-4)
 
 
+def test_gradient_equals_finite_differences():
+    rng = np.random.default_rng(3)
+    model = quality.Model(rng.normal(0, 0.4, (4, 256, quality.FILTERS)), rng.normal(0, 0.2, quality.FILTERS), rng.normal(size=2 * quality.FILTERS), 0.0)
+    chunks = np.concatenate([quality.chunks_of(rng.integers(0, 256, n, dtype=np.uint8).tobytes()) for n in (300, 900, 1500)])
+    starts, labels, weight = np.array([0, 1, 3]), np.array([1.0, 0.0, 1.0]), np.array([0.7, 1.3, 1.0])
+    loss = lambda offset=0.2: quality.gradients(model, offset, chunks, starts, labels, weight)
+    base, slopes = loss()
+    step = 1e-3  # filters are summed in single precision
+    for values, slope in zip((model.weights, model.bias, model.out), slopes, strict=False):
+        flat, steepest = values.reshape(-1), np.argsort(-np.abs(slope.reshape(-1)))
+        for k in steepest[:12]:
+            was = flat[k]
+            flat[k] = was + step
+            above = loss()[0]
+            flat[k] = was - step
+            below = loss()[0]
+            flat[k] = was
+            # where a maximum changes hands within a step, the slope is that of one side
+            sides = np.array([(above - below) / 2, above - base, base - below]) / step
+            assert np.isclose(sides, slope.reshape(-1)[k], rtol=0.05, atol=2e-3).any()
+    assert np.isclose((loss(0.2 + step)[0] - loss(0.2 - step)[0]) / (2 * step), slopes[3][0], rtol=1e-3)
+
+
+def test_all_chunks_of_long_texts_are_learned_from(spark):
+    d = spark.createDataFrame([(i, chr(97 + i) * 60_000) for i in range(5)], "doc_id long, text string")
+    sample, _ = quality.training_sample(d, spark.createDataFrame([(i, i % 2, 0) for i in range(5)], "doc_id long, quality int, toxic int"))
+    assert sample and all(len(chunks) == len(quality.chunks_of(b"x" * 60_000)) for chunks, _ in sample)
+
+
 def test_chunks_cover_everything():
     step = quality.CHUNK - quality.OVERLAP
     for n in [0, 1, 63, 64, 65, 511, 512, 513, 960, 961, 5000]:
