@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import in_arrow, table, text_of, written
+from docquarry.llm.common import aside, in_arrow, table, text_of, written
 from docquarry.llm.hashing import M1, WORDS_KEPT, bit_filter, in_filter, mix, signed, windows
 
 WIDTH = 8
@@ -279,9 +279,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text leaks an item, columns unchanged."""
+    """``docs`` without the rows whose text leaks an item, columns of any names
+    unchanged."""
     leaked = written(find_leaks(docs, benchmark).select(F.col("text_key").alias("_dq_leaked")).distinct(), "decon-leaked")
-    return docs.join(leaked, F.md5(text_of()) == F.col("_dq_leaked"), "left_anti")
+    plain, names, back = aside(docs)
+    return plain.join(leaked, F.md5(text_of(names["text"])) == F.col("_dq_leaked"), "left_anti").select(*back)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import table, text_of, written
+from docquarry.llm.common import aside, table, text_of, written
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -69,26 +69,29 @@ def mix_sources(
     A row per input row: repeated rows are separate documents that draw the
     same number.  A null text counts as empty (size 0), a null source is a
     source of its own, a null doc_id draws by its text.  Other columns of
-    ``docs`` may have any names.  The targets are written and joined by a
+    ``docs`` may have any names.  A very long text is counted whole, in one row.
+    The targets are written and joined by a
     null-safe key; Spark sends them to all tasks if their file is below its
     limit and deals both sides by source otherwise, where a source that holds
     much of the rows can be split, since only a projection follows.
     """
-    mixed = _mix(docs.select(*dict.fromkeys((*keep, "doc_id", "text", "source"))), weights, max_rate, seed, "text" in keep)
-    return mixed.select(*keep, *[F.col(f"_dq_{c}").alias(c) for c in ("size", "source_size", "target", "copies")])
+    plain, names, _ = aside(docs.select(*dict.fromkeys((*keep, "doc_id", "text", "source"))))
+    mixed = _mix(plain, names, weights, max_rate, seed, "text" in keep)
+    kept = [F.col(names[c]).alias(c) for c in keep]
+    return mixed.select(*kept, *[F.col(f"_dq_{c}").alias(c) for c in ("size", "source_size", "target", "copies")])
 
 
-def _mix(docs: DataFrame, weights: tuple[int, ...], max_rate: int, seed: str, wide: bool) -> DataFrame:
-    """``docs`` with ``_dq_size``, ``_dq_source_size``, ``_dq_target``, ``_dq_copies``;
-    without their text unless ``wide``."""
-    text = text_of()
-    drawn = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(text)))
+def _mix(docs: DataFrame, names: dict[str, str], weights: tuple[int, ...], max_rate: int, seed: str, wide: bool) -> DataFrame:
+    """``docs``, whose columns have the ``names`` of ``aside``, with ``_dq_size``,
+    ``_dq_source_size``, ``_dq_target``, ``_dq_copies``; without their text unless ``wide``."""
+    text = text_of(names["text"])
+    drawn = F.coalesce(F.col(names["doc_id"]).cast("string"), F.concat(F.lit("text:"), F.md5(text)))
     unit = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), drawn)), 1, 12), 16, 10).cast("double") / float(1 << 48)
     size = F.regexp_count(text, F.lit(WORD)).cast("long")
-    sized = docs.select("*", F.col("source").alias("_dq_source"), size.alias("_dq_size"), unit.alias("_dq_unit"))
+    sized = docs.select("*", F.col(names["source"]).alias("_dq_source"), size.alias("_dq_size"), unit.alias("_dq_unit"))
     if not wide:
         # what is left of a document without its text is small, so words are counted once
-        sized = written(sized.drop("text"), "mix-sized")
+        sized = written(sized.drop(names["text"]), "mix-sized")
     # written, so that its true size decides whether documents are dealt by source at all
     counted = sized.select(F.col("_dq_source").alias("source"), F.col("_dq_size").alias("size"))
     per_source = written(source_targets(counted, weights, max_rate), "mix-targets")
@@ -106,12 +109,17 @@ def _mix(docs: DataFrame, weights: tuple[int, ...], max_rate: int, seed: str, wi
 def emit_mixture(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE, seed: str = SEED
 ) -> DataFrame:
-    """The mixture itself: the columns of ``docs`` and ``copy`` (from 0; named
-    ``mix_copy`` if there is such a column already), a row per copy taken.
-    Documents with no copies do not appear."""
-    name = "mix_copy" if "copy" in docs.columns else "copy"
+    """The mixture itself: the columns of ``docs``, of any names, and ``copy`` (from
+    0; named ``mix_copy`` if there is such a column already, and ``mix_copy_`` and so
+    on if there is that too), a row per copy taken.  Documents with no copies do
+    not appear."""
+    taken = {c.lower() for c in docs.columns}
+    name = "mix_copy" if "copy" in taken else "copy"
+    while name in taken:
+        name += "_"
+    plain, names, back = aside(docs)
     copy = F.explode(F.sequence(F.lit(0), (F.col("_dq_copies") - 1).cast("int"))).alias(name)
-    return _mix(docs, weights, max_rate, seed, True).where("_dq_copies > 0").select(*docs.columns, copy)
+    return _mix(plain, names, weights, max_rate, seed, True).where("_dq_copies > 0").select(*back, copy)
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import in_arrow, table, text_of, written
+from docquarry.llm.common import aside, in_arrow, table, text_of, written
 from docquarry.llm.graph import star_components
 from docquarry.llm.hashing import WordHashes, bit_filter, in_filter, mix, signed, windows
 
@@ -386,8 +386,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: that of the least doc_id (null last),
-    among equal ids the least MD5 of the text, among equal rows any."""
-    columns = docs.columns
+    among equal ids the least MD5 of the text, among equal rows any.  Columns may
+    have any names."""
     classes, _ = similar_texts(docs)
     classed = _with_classes(docs, classes, ["doc_id"])
     rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_dq_key").alias("k"))
@@ -395,11 +395,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.min_by(F.struct("doc_id", "_dq_key", "rows"), rank).alias("b")
     )
     chosen = written(best.select(F.col("b.doc_id").alias("_dq_id"), F.col("b._dq_key").alias("_dq_best"), F.col("b.rows").alias("_dq_rows")), "near-chosen")
-    keyed = docs.withColumn("_dq_key", F.unhex(F.md5(text_of())))
-    fits = (F.col("_dq_key") == F.col("_dq_best")) & F.col("doc_id").eqNullSafe(F.col("_dq_id"))
+    plain, names, back = aside(docs)
+    keyed = plain.select("*", F.col(names["doc_id"]).alias("_dq_doc"), F.unhex(F.md5(text_of(names["text"]))).alias("_dq_key"))
+    fits = (F.col("_dq_key") == F.col("_dq_best")) & F.col("_dq_doc").eqNullSafe(F.col("_dq_id"))
     single = keyed.join(chosen.where("_dq_rows = 1"), fits, "left_semi")
     repeated = keyed.join(chosen.where("_dq_rows > 1"), fits, "left_semi").dropDuplicates(["_dq_key"])
-    return single.unionByName(repeated).select(*columns)
+    return single.unionByName(repeated).select(*back)
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import in_arrow, table, text_of, written
+from docquarry.llm.common import aside, in_arrow, table, text_of, written
 from docquarry.llm.hashing import M1, WordHashes, bit_filter, in_filter, mix, signed, windows
 
 KINDS = ("email", "ip", "card", "phone", "context")
@@ -298,8 +298,10 @@ def find_personal(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rounds:
 def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with each span replaced by its kind in brackets and ``n_chars``,
     if there is one, counted anew.  Overlapping spans become one, named by the
-    first."""
-    columns = tuple(docs.columns)
+    first.  Repeated rows are changed alike, columns may have any names, and a
+    very long text is one row."""
+    plain, names, back = aside(docs)
+    given = plain.withColumnRenamed(names["text"], "text")
 
     @F.pandas_udf("string")
     def replaced(text: pd.Series, found: pd.Series) -> pd.Series:
@@ -316,14 +318,13 @@ def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             out.append("".join(parts) + t[at:])
         return pd.Series(out, dtype=object)
 
-    into = "_dq_found"
-    while into in columns:
-        into += "_"
-    found = find_personal(docs, columns, rounds, into)
-    changed = found.withColumn("text", F.when(F.size(into) > 0, replaced("text", into)).otherwise(F.col("text")))
-    if "n_chars" in columns:
-        changed = changed.withColumn("n_chars", F.when(F.size(into) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return changed.select(*columns)
+    found = find_personal(given, tuple(given.columns), rounds, "_dq_found")
+    any_found = F.size("_dq_found") > 0
+    changed = found.withColumn("text", F.when(any_found, replaced("text", "_dq_found")).otherwise(F.col("text")))
+    if "n_chars" in names:
+        count = F.when(any_found, F.length("text").cast("long")).otherwise(F.col(names["n_chars"]))
+        changed = changed.withColumn(names["n_chars"], count)
+    return changed.withColumnRenamed("text", names["text"]).select(*back)
 
 
 def op9_find_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
