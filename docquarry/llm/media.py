@@ -14,6 +14,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ ROWS = 4
 OPEN, CLOSE = 1.15, 0.9
 #: Samples worked on at a time.
 BLOCK = 1 << 17
+#: Characters of texts whose tensors share a stream; a longer text has its own.
+TOGETHER = 4_000_000
 
 
 # ---- the container ----------------------------------------------------------
@@ -70,6 +73,7 @@ def from_wav(media: bytes) -> tuple[bytes, int]:
 # ---- features ---------------------------------------------------------------
 
 
+@cache
 def polyphase(up: int = UP, down: int = DOWN, taps: int = TAPS) -> np.ndarray:
     """A windowed-sinc low-pass filter, split into ``up`` phases of ``taps``."""
     n = up * taps
@@ -80,13 +84,19 @@ def polyphase(up: int = UP, down: int = DOWN, taps: int = TAPS) -> np.ndarray:
     return (phases / phases.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
+def _windows(values: np.ndarray, width: int, step: int = 1) -> np.ndarray:
+    """Rows of ``width`` neighbours, every ``step``; a view of contiguous ``values``."""
+    rows = (len(values) - width) // step + 1
+    return np.ndarray((rows, width), values.dtype, values, 0, (step * values.itemsize, values.itemsize))
+
+
 def resample(samples: np.ndarray, up: int = UP, down: int = DOWN) -> np.ndarray:
     """Rational resampling: each output sample uses one phase of the filter."""
     phases = polyphase(up, down)
     taps = phases.shape[1]
     n = -(-len(samples) * up // down)
     padded = np.concatenate([np.zeros(taps - 1, np.float32), samples.astype(np.float32)])
-    views = np.lib.stride_tricks.sliding_window_view(padded, taps)
+    views = _windows(padded, taps)
     out = np.empty(n, np.float32)
     for first in range(min(up, n)):
         taken = np.ascontiguousarray(phases[(first * down) % up, ::-1])
@@ -114,7 +124,7 @@ def log_mel(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     worked off in blocks that share a frame's overlap, short ones are padded."""
     if len(samples) < FRAME:
         samples = np.concatenate([samples, np.zeros(FRAME - len(samples), np.float32)])
-    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::HOP]
+    frames = _windows(samples, FRAME, HOP)
     mels = np.empty((len(frames), MELS), np.float32)
     energy = np.empty(len(frames), np.float32)
     many = BLOCK // FRAME
@@ -131,7 +141,8 @@ def segments(energy: np.ndarray, opens: float = OPEN, closes: float = CLOSE) ->
     """Frame spans (end exclusive) that begin where energy reaches ``opens``
     times its median and end where it falls below ``closes`` times; without any,
     the whole."""
-    level = float(np.median(energy))
+    middle = np.partition(energy, [(len(energy) - 1) // 2, len(energy) // 2])
+    level = float((middle[(len(energy) - 1) // 2] + middle[len(energy) // 2]) / 2)
     state = np.where(energy >= opens * level, 1, np.where(energy < closes * level, 0, -1))
     decided = np.flatnonzero(state >= 0)
     if not len(decided):
@@ -186,18 +197,35 @@ def tensors_from_ipc(stream: bytes) -> tuple[np.ndarray, list[tuple[int, int]]]:
     return found["tensor"].to_numpy_ndarray(), list(times)
 
 
+def audio_rows(texts: list[str], with_media: bool = True) -> list[tuple]:
+    """What ``audio_columns`` has of each text, from ``n_bytes`` on.  A text has a
+    stream of its own if streams are asked for, else all texts share one; files
+    and streams are made and read back, and the rest is of what was read."""
+    made, rows = [], []
+    for text in texts:
+        media = to_wav(payload_of(text))
+        payload, _ = from_wav(media)
+        made.append(features(payload))
+        told = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest())
+        rows.append((len(text.encode()), media if with_media else None, told))
+    out = []
+    for first in range(0, len(texts), 1 if with_media else max(1, len(texts))):
+        group = made[first : first + 1] if with_media else made
+        stream = tensors_to_ipc(np.concatenate([values for values, _, _ in group]), [t for _, times, _ in group for t in times])
+        every, spans = tensors_from_ipc(stream)
+        rounded, at = np.round(every * 8).astype("<i2"), 0
+        for k, (_, times, frames) in enumerate(group, first):
+            end = at + len(times)
+            length = sum(b - a for a, b in spans[at:end])
+            n_bytes, media, told = rows[k]
+            feature = f"frames={frames};segments={end - at};span_ms={length};mel={zlib.crc32(rounded[at:end].tobytes()):08x}"
+            out.append((n_bytes, *((media, stream) if with_media else ()), *told, feature))
+            at = end
+    return out
+
+
 def audio_row(text: str) -> tuple:
-    """What ``audio_columns`` has of a text, from ``n_bytes`` on.  The file and the
-    stream are made and read back, and the rest is of what was read."""
-    media = to_wav(payload_of(text))
-    payload, _ = from_wav(media)
-    values, times, frames = features(payload)
-    stream = tensors_to_ipc(values, times)
-    values, times = tensors_from_ipc(stream)
-    quiet = zlib.crc32(np.round(values * 8).astype("<i2").tobytes())
-    told = f"frames={frames};segments={len(times)};span_ms={sum(b - a for a, b in times)};mel={quiet:08x}"
-    read = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), told)
-    return (len(text.encode()), media, stream, *read)
+    return audio_rows([text])[0]
 
 
 def audio_columns(docs: DataFrame, with_media: bool = True) -> DataFrame:
@@ -206,10 +234,11 @@ def audio_columns(docs: DataFrame, with_media: bool = True) -> DataFrame:
     and what was read back: ``payload_bytes``, ``payload_sha256``,
     ``tail_crc32``, ``media_bytes``, ``media_sha256`` and ``feature``.
 
-    ``with_media`` False makes the two large columns but does not return them.  Null texts count as
-    empty and give one unit of padding.  Each text is worked on by itself, so
-    equal texts give equal values; memory follows the longest text, of which
-    spectra are held a block at a time.
+    Without ``with_media`` the two large columns are not returned; files and tensors
+    are made and read back all the same, tensors in a stream for many texts.  Null
+    texts count as empty and give one unit of padding.  Each text is worked on by
+    itself, so equal texts give equal values; memory follows the longest text, of
+    which spectra are held a block at a time.
     """
     large = "media binary, segments binary, " if with_media else ""
     schema = (
@@ -218,28 +247,23 @@ def audio_columns(docs: DataFrame, with_media: bool = True) -> DataFrame:
     )
     names = [part.split()[0] for part in schema.split(", ")]
 
-    def row(text: str) -> tuple:
-        n_bytes, media, stream, *read = audio_row(text)
-        return (n_bytes, media, stream, *read) if with_media else (n_bytes, *read)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[part.split()[1]] for part in schema.split(", ")]
 
-        def batch(ids: list, rows: list) -> pa.RecordBatch:
-            columns = [ids, *zip(*rows, strict=True)]
+        def batch(ids: list, texts: list[str]) -> pa.RecordBatch:
+            columns = [ids, *zip(*audio_rows(texts, with_media), strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         for found in batches:
-            ids, rows, held = [], [], 0
+            ids, texts, held = [], [], 0
             for i, text in zip(found.column(0), found.column(1), strict=True):
-                text = text.as_py()
-                ids.append(i.as_py()), rows.append(row(text))
-                held += len(text) if with_media else 0
-                if held > 16_000_000:
-                    yield batch(ids, rows)
-                    ids, rows, held = [], [], 0
+                ids.append(i.as_py()), texts.append(text.as_py())
+                held += len(texts[-1])
+                if held > TOGETHER:
+                    yield batch(ids, texts)
+                    ids, texts, held = [], [], 0
             if ids:
-                yield batch(ids, rows)
+                yield batch(ids, texts)
 
     return docs.select(docs["doc_id"].cast("long"), text_of().alias("text")).transform(in_arrow(run, schema))
 
