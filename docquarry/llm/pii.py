@@ -4,8 +4,8 @@ Seed entities (e-mail, IP address, card, phone) come from fixed expressions.
 What stands around an entity gives its lexical patterns: the two words before
 it, the one before, the one before with its separator, and the one after.  Spark
 keeps the graph of patterns and instances and scores it in rounds: a pattern is
-trusted if it is seen at several different known instances and most of all its
-occurrences in the corpus are at known ones; an unknown token that looks like an
+trusted if it is seen at several different known instances and a good part of all
+its occurrences in the corpus are at known ones; an unknown token that looks like an
 identifier (four characters or more, one of them a digit or @) becomes known if
 trusted patterns make it likely enough.  Rounds end when one gains nothing.
 """
@@ -26,8 +26,11 @@ from docquarry.llm.hashing import M1, WordHashes, bit_filter, in_filter, mix, si
 
 KINDS = ("email", "ip", "card", "phone", "context")
 MIN_INSTANCES = 3
-MIN_PRECISION = 0.5
-MIN_CONFIDENCE = 0.5
+#: Part of a pattern's occurrences in the corpus that must be at known instances.
+MIN_PRECISION = 0.25
+#: What all trusted patterns of an instance together must reach: several weak ones
+#: make up for a strong one.
+MIN_CONFIDENCE = 0.4
 #: Part of an instance's occurrences that a trusted pattern must stand at: what
 #: mostly occurs elsewhere is a common token and would carry the rounds astray.
 MIN_SHARE = 0.5

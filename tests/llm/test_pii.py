@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from docquarry.llm import pii
 from tests.llm import cases
 
@@ -151,14 +153,14 @@ def planted(seed=21):
     return texts, wanted, others
 
 
-def test_unseen_identifiers_by_all_patterns(spark):
-    texts, wanted, others = planted()
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_unseen_identifiers_by_all_patterns(spark, seed):
+    texts, wanted, others = planted(seed)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     found = {(r["doc_id"], s["start"], s["end"]) for r in pii.find_personal(docs).collect() for s in r["found"] if s["kind"] == 4}
     hits = len(found & wanted)
     print(f"planted {len(wanted)}, look-alikes {others}, found {len(found)}, precision {hits / len(found):.3f}, recall {hits / len(wanted):.3f}")
-    # cues that stand before unseen ones as often as before seeds are not trusted
-    assert hits >= 0.95 * len(found) and hits >= 0.75 * len(wanted)
+    assert hits >= 0.95 * len(found) and hits >= 0.9 * len(wanted)
 
 
 def test_marked_words_equal_the_plain_expression():
