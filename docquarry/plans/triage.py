@@ -14,7 +14,9 @@ PAGE_CEILING = 20
 def triage(objects: DataFrame, page_ceiling: int = PAGE_CEILING) -> DataFrame:
     """Adds ``result``, ``state`` and ``last_error``; the first test that holds
     decides.  A content that occurs again is a duplicate of its first upload;
-    rejected uploads are never reported as duplicates."""
+    rejected uploads are never reported as duplicates.  ``objects`` may come from
+    ``sources.inspect``, whose ``damage`` then is part of the error."""
+    damage = F.coalesce("damage", F.lit("unreadable")) if "damage" in objects.columns else F.lit("unreadable")
     mime = F.coalesce("content_type", F.lit("application/octet-stream"))
     rejected = (
         F.when(F.col("size") == 0, "zero_byte")
@@ -35,7 +37,7 @@ def triage(objects: DataFrame, page_ceiling: int = PAGE_CEILING) -> DataFrame:
         F.when(F.col("result") == "zero_byte", "zero_byte_object")
         .when(F.col("result") == "unsupported_mime", F.concat(F.lit("unsupported_mime:"), mime))
         .when(F.col("result") == "encrypted", "encrypted_pdf")
-        .when(F.col("result") == "corrupt", "corrupt_pdf:unreadable")
+        .when(F.col("result") == "corrupt", F.concat(F.lit("corrupt_pdf:"), damage))
         .when(F.col("result") == "page_ceiling", F.concat(F.lit("page_ceiling_exceeded:"), F.col("page_count").cast("string")))
     )
     return told.select("*", state.alias("state"), error.alias("last_error"))

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from docquarry.plans import queries as plans
+from docquarry.plans import uploads  # noqa: F401  (registers its queries)
 from docquarry.streaming import queries as streams
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
