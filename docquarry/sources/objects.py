@@ -6,8 +6,11 @@ store that Spark reaches will do.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,3 +81,53 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
     """Create a bucket or topic folder if it is missing."""
     system, where = _file_system(spark, path)
     system.mkdirs(where)
+
+
+def put_if_absent(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Write a small object unless there is one; false if there was.  It appears
+    whole, and of several writers one succeeds: by a hard link on a mounted
+    folder, elsewhere by a rename that does not replace, which must be atomic in
+    the store."""
+    jvm = spark._jvm
+    system, target = _file_system(spark, path)
+    system.mkdirs(target.getParent())
+    fresh = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    with_stream = system.create(fresh, False)
+    with_stream.write(data)
+    with_stream.close()
+    try:
+        if system.getScheme() == "file":
+            os.link(fresh.toUri().getPath(), target.toUri().getPath())
+            return True
+        where = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+        keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        where.rename(fresh, target, keep)
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as fault:
+        if "FileAlreadyExists" in fault.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        system.delete(fresh, False)
+
+
+def read_small(spark: SparkSession, path: str) -> bytes:
+    """The bytes of a small object."""
+    system, where = _file_system(spark, path)
+    source = system.open(where)
+    try:
+        return bytes(source.readAllBytes())
+    finally:
+        source.close()
+
+
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below a folder, without hidden files; none if
+    there is no such folder."""
+    system, where = _file_system(spark, path)
+    if not system.exists(where):
+        return []
+    found = [str(f.getPath().getName()) for f in system.listStatus(where)]
+    return sorted(n for n in found if not n.startswith((".", "_")))
