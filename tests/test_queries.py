@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from docquarry.plans import queries as plans
-from docquarry.plans import chains, uploads  # noqa: F401  (register their queries)
+from docquarry.plans import chains, kept, uploads  # noqa: F401  (register their queries)
 from docquarry.streaming import queries as streams
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
