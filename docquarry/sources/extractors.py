@@ -12,6 +12,7 @@ import json
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from functools import partial
 from typing import Protocol
 
 import pandas as pd
@@ -21,6 +22,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from docquarry.functions import replies
 from docquarry.functions.text import fields
+from docquarry.sources.calls import Pace, ReplyLog, Told, ask_all
 
 
 class Extractor(Protocol):
@@ -64,16 +66,17 @@ class LabelExtractor:
         return told.select(*requests.columns, F.when(error.isNull(), changed).alias("record"), error.alias("error"))
 
 
-#: (model, prompt) to (fault or None, status or None, body).
-Call = Callable[[str, str], tuple[str | None, int | None, str]]
+#: (model, prompt, trace) to (fault or None, status or None, body).  All calls for a
+#: document carry one trace.
+Call = Callable[[str, str, str], Told]
 
 
 def http_call(base_url: str, key: str, timeout: float = 200) -> Call:
     """Calls to a service that speaks the chat-completions protocol.  Temperature 0
     keeps repeated calls close together."""
 
-    def call(model: str, prompt: str) -> tuple[str | None, int | None, str]:
-        body = {"model": model, "messages": [{"role": "user", "content": prompt}], "temperature": 0}
+    def call(model: str, prompt: str, trace: str) -> Told:
+        body = {"model": model, "messages": [{"role": "user", "content": prompt}], "temperature": 0, "metadata": {"trace_id": trace}}
         head = {"Authorization": f"Bearer {key}", "Content-Type": "application/json"}
         request = urllib.request.Request(f"{base_url}/chat/completions", json.dumps(body).encode(), head)
         try:
@@ -96,27 +99,50 @@ class ServiceExtractor:
     from the source text and the hint of the attempt before (or None).  Adds
     ``record``, ``error`` (transient, context_overflow, refusal, unparseable,
     schema_invalid, http_error; null for a record) and ``hint`` for the next
-    attempt.  Each evaluation calls the service again: write the result.
+    attempt.
+
+    A task has ``concurrency`` calls under way and keeps to ``per_second`` calls of a
+    model.  With ``log``, a shared folder, each reply is kept by document, tier,
+    attempt and prompt before it is used: a task that runs again, or a frame that
+    is evaluated again, asks only what was not answered.  Without it each
+    evaluation calls the service again: write the result.
     """
 
-    def __init__(self, call: Call, models: list[str], prompt: Callable[[str, str | None], str]):
+    def __init__(
+        self, call: Call, models: list[str], prompt: Callable[[str, str | None], str], concurrency: int = 4, per_second: float | None = None, log: str | None = None
+    ):
         self.call, self.models, self.prompt = call, models, prompt
+        self.concurrency, self.per_second, self.log = concurrency, per_second, log
 
     def extract(self, requests: DataFrame) -> DataFrame:
         call, models, prompt = self.call, self.models, self.prompt
+        concurrency, per_second, folder = self.concurrency, self.per_second, self.log
         columns = requests.columns
         hinted = requests if "hint" in columns else requests.withColumn("hint", F.lit(None).cast("string"))
 
+        numbered = "attempt" in columns
+
         def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            log = ReplyLog(folder) if folder else None
+            paces = {m: Pace(per_second) for m in models} if per_second else None
             for rows in batches:
-                told = [call(models[int(t)], prompt(text, hint)) for t, text, hint in zip(rows["tier"], rows["source_text"], rows["hint"], strict=True)]
+                asked = []
+                for doc, tier, attempt, text, hint in zip(
+                    rows["doc_id"], rows["tier"], rows["attempt"] if numbered else [1] * len(rows), rows["source_text"], rows["hint"], strict=True
+                ):
+                    model, told = models[int(tier)], prompt(text, hint)
+                    asked.append(((doc, tier, attempt, told), partial(call, model, told, str(doc)), model))
+                told = ask_all(asked, concurrency, paces, log)
                 fault, status, body = (list(x) for x in zip(*told, strict=True)) if told else ([], [], [])
                 yield rows.assign(_fault=pd.Series(fault, rows.index, dtype=object), _status=pd.Series(status, rows.index, dtype="Int32"), _body=pd.Series(body, rows.index, dtype=object))
 
         schema = StructType([*hinted.schema.fields, StructField("_fault", StringType()), StructField("_status", IntegerType()), StructField("_body", StringType())])
         told = hinted.mapInPandas(ask, schema)
         content = F.get_json_object("_body", "$.choices[0].message.content")
-        failed = replies.call_error(F.col("_fault"), F.col("_status"), F.col("_body"))
+        message = F.get_json_object("_body", "$.choices[0].message")
+        # a proxy's page, or a reply of another shape: asked again, unlike an empty completion
+        odd = F.when(~F.coalesce(message.startswith("{"), F.lit(False)), F.struct(F.lit("transient").alias("kind"), F.lit("no completion in the reply").alias("message")))
+        failed = F.coalesce(replies.call_error(F.col("_fault"), F.col("_status"), F.col("_body")), odd)
         read = told.select("*", failed.alias("_failed"), F.when(failed.isNull(), replies.parse_reply(content)).alias("_reply"))
         checked = read.withColumn("_checked", replies.validate(F.col("_reply.json")))
         error = F.coalesce(
