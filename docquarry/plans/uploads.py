@@ -10,6 +10,7 @@ from docquarry.operators.recon import text_topic
 from docquarry.plans import bindings as b
 from docquarry.plans.queries import query
 from docquarry.plans.triage import PAGE_CEILING, triage
+from docquarry.sources.blobs import with_object_ids
 from docquarry.sources.inspect import as_files, inspect
 
 PAGE_CHARS, SHARD_PAGES = 400, 4
@@ -54,3 +55,15 @@ def triage_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = triage(inspect(facts))
     topic = text_topic(text.has_text_layer(F.col("sample")), F.col("page_count"), SHARD_PAGES)
     return told.select("doc_id", "result", "state", "last_error", F.when(F.col("result") == "dispatched", topic).alias("topic"))
+
+
+@query(
+    """WITH tab AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: CASE WHEN (r & 1) = 1 THEN xor(r >> 1, 2197175160) ELSE r >> 1 END)) AS t),
+bytes AS (SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM documents),
+sums AS (SELECT doc_id, len(b)::BIGINT AS size, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda r, v: xor(r >> 8, t[(xor(r, v) & 255) + 1])), 4294967295::BIGINT) AS c FROM bytes, tab)
+SELECT doc_id, size, 'crc32c-' || lower(lpad(printf('%x', c), 8, '0')) AS object_id FROM sums"""
+)
+def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The identity of each text's bytes."""
+    texts = b.read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    return with_object_ids(texts).select("doc_id", F.length("content").cast("long").alias("size"), "object_id")

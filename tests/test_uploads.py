@@ -4,7 +4,13 @@ import base64
 import random
 import zlib
 
+import pytest
+from pyspark.sql import functions as F
+
+from docquarry.functions import crc32c
 from docquarry.plans.triage import triage
+from docquarry.sources import objects
+from docquarry.sources.blobs import with_object_ids, write_blobs
 from docquarry.sources.inspect import inspect_prefix, sniffed_type
 from docquarry.sources.pdf import Facts, facts, make_pdf
 
@@ -121,3 +127,53 @@ def test_magic_numbers(spark):
     rows = [(b"%PDF-1.7", "application/pdf"), (b"\xff\xd8\xff", "image/jpeg"), (b"\x89PNG\r\n\x1a\n..", "image/png"), (b"\x89PNG\r\n", "application/octet-stream"), (b"", "application/octet-stream")]
     frame = spark.createDataFrame(rows, "content binary, wanted string")
     assert frame.where(sniffed_type(frame["content"]) != frame["wanted"]).count() == 0
+
+
+# ---- identities ---------------------------------------------------------------
+
+
+def bitwise(data):
+    rest = 0xFFFFFFFF
+    for byte in data:
+        rest ^= byte
+        for _ in range(8):
+            rest = (rest >> 1) ^ (0x82F63B78 if rest & 1 else 0)
+    return rest ^ 0xFFFFFFFF
+
+
+def test_checksums_equal_published_ones_and_the_bitwise_loop():
+    # the check value of the polynomial, and the vectors of RFC 3720
+    published = [(b"123456789", 0xE3069283), (bytes(32), 0x8A9136AA), (b"\xff" * 32, 0x62A8AB43), (bytes(range(32)), 0x46DD794E), (bytes(range(31, -1, -1)), 0x113FDB5C)]
+    assert crc32c.of_bytes([d for d, _ in published]).tolist() == [c for _, c in published]
+    rng = random.Random(3)
+    values = [b"", b"a"] + [rng.randbytes(n) for n in (*range(60, 70), 127, 128, 129, 191, 193, 1000, 20_001)] + [rng.randbytes(rng.randrange(400)) for _ in range(100)]
+    sums = crc32c.of_bytes(values).tolist()
+    assert sums == [bitwise(v) for v in values] and len(crc32c.of_bytes([])) == 0
+    assert crc32c.joined(sums[-1], sums[-2], len(values[-2])) == bitwise(values[-1] + values[-2])
+
+
+def test_parts_give_the_checksum_of_the_whole(spark):
+    rng = random.Random(8)
+    wholes = {k: rng.randbytes(rng.randrange(1, 9000)) for k in range(6)}
+    parts = [(k, i, w[a : a + 1000]) for k, w in wholes.items() for i, a in enumerate(range(0, len(w), 1000))]
+    rng.shuffle(parts)
+    frame = spark.createDataFrame(parts, "name long, part int, content binary").withColumn("checksum", crc32c.checksum(F.col("content"))).withColumn("length", F.length("content").cast("long"))
+    got = {r["name"]: (r["checksum"], r["length"]) for r in crc32c.whole_checksums(frame, "name", "part").collect()}
+    assert got == {k: (bitwise(w), len(w)) for k, w in wholes.items()}
+
+
+def test_objects_are_written_with_their_identity(spark, tmp_path):
+    rows = [("in/a.pdf", b"123456789"), ("in/deep/b.PNG", b""), ("c", bytes(32)), ("none.json", None)]
+    frame = spark.createDataFrame(rows, "path string, content binary").repartition(2)
+    told = {r["path"]: tuple(r)[1:] for r in write_blobs(frame, f"file://{tmp_path}/store").collect()}
+    assert told == {
+        "in/a.pdf": (9, "application/pdf", "crc32c-e3069283"), "in/deep/b.PNG": (0, "image/png", "crc32c-00000000"),
+        "c": (32, "application/octet-stream", "crc32c-8a9136aa"), "none.json": (None, "application/json", None),
+    }
+    stored = {p.relative_to(tmp_path / "store").as_posix(): p.read_bytes() for p in (tmp_path / "store").rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+    assert stored == {p: c for p, c in rows if c is not None}
+    read = with_object_ids(objects.read_objects(spark, f"file://{tmp_path}/store"))
+    assert sorted(r["object_id"] for r in read.collect()) == sorted(t[2] for t in told.values() if t[2])
+    (tmp_path / "blocked").write_text("a file where a folder should be")
+    with pytest.raises(Exception, match="blocked"):
+        write_blobs(frame, f"file://{tmp_path}/blocked").collect()
