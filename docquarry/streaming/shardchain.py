@@ -52,31 +52,40 @@ def recognise(pages: DataFrame, engine: Engine) -> DataFrame:
 
 
 class ShardClaims(StatefulProcessor):
-    """Claims each shard of a document once and tells which claim was its last."""
+    """Claims each shard of a document once and tells which claim was its last.  A
+    finished document keeps a mark instead of its claims; where ``keep_ms`` is given
+    (in processing time), what was not touched for so long is forgotten."""
+
+    def __init__(self, keep_ms: int | None = None) -> None:
+        self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.claimed = handle.getMapState("claimed", "shard_idx int", "pages int")
-        self.count = handle.getValueState("count", "done int")
+        self.claimed = handle.getMapState("claimed", "shard_idx int", "pages int", self.keep_ms)
+        self.count = handle.getValueState("count", "done int, finished boolean", self.keep_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         pages = pd.concat(list(rows)).drop_duplicates(["shard_idx", "page_no"]).sort_values(["shard_idx", "page_no"])
         stored = self.count.get()
-        done, out = 0 if stored is None else int(stored[0]), []
+        (done, finished), out = (0, False) if stored is None else (int(stored[0]), bool(stored[1])), []
         for shard, own in pages.groupby("shard_idx"):
-            if self.claimed.containsKey((int(shard),)):
+            if finished or self.claimed.containsKey((int(shard),)):
                 continue
             read = [{"page_no": int(p), "text": t, "confidence": float(c)} for p, t, c in zip(own["page_no"], own["text"], own["confidence"], strict=True) if p >= 0]
             self.claimed.updateValue((int(shard),), (len(read),))
             done += 1
-            out.append((key[0], int(shard), json.dumps(read), done == int(own["shards_total"].iloc[0])))
-        self.count.update((done,))
+            finished = done == int(own["shards_total"].iloc[0])
+            out.append((key[0], int(shard), json.dumps(read), finished))
+        if out:
+            self.count.update((done, finished))
+            if finished:
+                self.claimed.clear()
         yield pd.DataFrame(out, columns=["doc_id", "shard_idx", "output", "won"]).astype({"doc_id": "int64", "shard_idx": "int32", "output": "object", "won": "bool"})
 
     def close(self) -> None:
         pass
 
 
-def shard_claims(messages: DataFrame, images: DataFrame, engine: Engine) -> DataFrame:
+def shard_claims(messages: DataFrame, images: DataFrame, engine: Engine, keep_ms: int | None = None) -> DataFrame:
     """``doc_id``, ``shard_idx``, ``output`` (its pages as JSON) and ``won`` of each shard that
     is claimed for the first time.  ``messages`` is a stream of ``doc_id`` and
     MESSAGE; ``images`` has ``doc_id``, ``page_no`` and ``image``.  A shard without pages is
@@ -86,11 +95,14 @@ def shard_claims(messages: DataFrame, images: DataFrame, engine: Engine) -> Data
     found = images.select(F.col("doc_id").alias("_doc"), F.col("page_no").alias("_page"), "image")
     joined = asked.join(found, (F.col("doc_id") == F.col("_doc")) & (F.col("page_no") == F.col("_page")), "left").drop("_doc", "_page")
     return recognise(joined, engine).groupBy("doc_id").transformWithStateInPandas(
-        ShardClaims(), outputStructType="doc_id long, shard_idx int, output string, won boolean", outputMode="Append", timeMode="None"
+        ShardClaims(keep_ms),
+        outputStructType="doc_id long, shard_idx int, output string, won boolean",
+        outputMode="Append",
+        timeMode="None" if keep_ms is None else "ProcessingTime",
     )
 
 
-def run_shards(messages: DataFrame, images: DataFrame, engine: Engine, root: str, checkpoint: str):
+def run_shards(messages: DataFrame, images: DataFrame, engine: Engine, root: str, checkpoint: str, keep_ms: int | None = None):
     """Start ``shard_claims`` into the batches below ``root``, whose tables are TABLES."""
     spark = messages.sparkSession
 
@@ -114,6 +126,6 @@ def run_shards(messages: DataFrame, images: DataFrame, engine: Engine, root: str
     before = spark.conf.get(key)
     spark.conf.set(key, STORE)  # read when the stream starts, then as it was
     try:
-        return shard_claims(messages, images, engine).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(each).start()
+        return shard_claims(messages, images, engine, keep_ms).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(each).start()
     finally:
         spark.conf.set(key, before)
