@@ -47,9 +47,15 @@ def _committed(spark: SparkSession, root: str) -> list[dict]:
     return [*([whole] if whole else []), *sorted(later, key=lambda m: m["number"])]
 
 
+def _paths(root: str, told: list[dict], name: str) -> list[str]:
+    """Where the rows of a table are; a manifest names a folder, or files one by one."""
+    named = [m["folders"][name] for m in told if name in m["folders"]]
+    return [f"{root}/{p}" for n in named for p in (n if isinstance(n, list) else [n])]
+
+
 def read_batches(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
     """All committed rows of table ``name``."""
-    folders = [f"{root}/{m['folders'][name]}" for m in _committed(spark, root) if name in m["folders"]]
+    folders = _paths(root, _committed(spark, root), name)
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
@@ -62,7 +68,7 @@ def compact_batches(spark: SparkSession, root: str, schemas: dict[str, str]) ->
     upto, folders = max(m.get("number", m.get("upto")) for m in told), {}
     for name, schema in schemas.items():
         folders[name] = f"{name}/{upto:020d}-{uuid.uuid4().hex}"
-        older = [f"{root}/{m['folders'][name]}" for m in told if name in m["folders"]]
+        older = _paths(root, told, name)
         rows = spark.read.schema(schema).parquet(*older) if older else spark.createDataFrame([], schema)
         rows.repartition(max(1, rows.rdd.getNumPartitions() // 8)).write.parquet(f"{root}/{folders[name]}")
     return put_if_absent(spark, _manifest(root, upto, "whole"), json.dumps({"upto": upto, "folders": folders}).encode())
@@ -81,7 +87,7 @@ def relay_batches(
 
     def each(batch: DataFrame, number: int) -> None:
         told = sorted((json.loads(r["value"]) for r in batch.collect()), key=lambda m: m["number"])
-        folders = [f"{root}/{m['folders'][name]}" for m in told if name in m["folders"]]
+        folders = _paths(root, told, name)
         if folders:
             deliver(batch.sparkSession.read.schema(schema).parquet(*folders), number)
 

@@ -1,9 +1,9 @@
 """A message queue on files: topics are folders, rows are messages.
 
 Delivery is at least once: a stream's offsets move on only after its batch is
-through, and sinks are idempotent.  Where Spark has a broker's connector (its jar is
-not here, so this was not run), ``broker_stream`` and ``broker_deliver`` stand in for
-the files.
+through, and sinks are idempotent.  ``docqueue`` is the same as a Spark data source.
+Where Spark has a broker's connector, the experimental ``broker_stream`` and
+``broker_deliver`` stand in for the files.
 """
 
 from __future__ import annotations
@@ -35,7 +35,8 @@ def subscribe(spark: SparkSession, root: str, topics: list[str] | None = None, f
 
 
 def broker_stream(spark: SparkSession, servers: str, topics: list[str], per_batch: int = 100_000) -> DataFrame:
-    """The same messages from a broker, where Spark has its connector.  The place of
+    """Experimental, never run here: the same messages from a broker, where Spark has
+    its connector.  The place of
     a message in its topic is its id; its key is the document."""
     stream = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", ",".join(topics))
     found = stream.option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", per_batch).load()
@@ -46,7 +47,8 @@ def broker_stream(spark: SparkSession, servers: str, topics: list[str], per_batc
 
 
 def broker_deliver(servers: str) -> Callable[[DataFrame, int], int]:
-    """What ``relay`` hands batches to: they are written to the broker or raise."""
+    """Experimental, never run here: what ``relay`` hands batches to; they are written
+    to the broker or raise."""
 
     def deliver(batch: DataFrame, number: int) -> int:
         told = batch.select("topic", F.col("doc_id").cast("string").alias("key"), F.col("payload").alias("value"))
