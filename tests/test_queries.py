@@ -51,3 +51,18 @@ def test_every_outcome_occurs(spark):
     assert {r["result"] for r in QUERIES["triage_classify"](spark, "/root/testdata/sf0.01").collect()} == {
         "dispatched", "duplicate", "zero_byte", "unsupported_mime", "encrypted", "corrupt", "page_ceiling",
     }
+
+
+def test_gates_are_lazy_until_they_are_kept(spark):
+    """Kept by an explicit step, and then read; either way with the same rows."""
+    from docquarry.plans import invoices
+
+    sf = "/root/testdata/sf0.001"
+    scans = lambda frame: {f.rpartition("/")[2] for f in frame.inputFiles()}
+    before = QUERIES["gate_verdict"](spark, sf)
+    lazy = invoices.gated(spark, sf)
+    assert "orders.parquet" in scans(lazy) and "lineitem.parquet" in scans(lazy)
+    want = sorted(map(tuple, before.collect()))
+    invoices.keep_gates(spark, sf)
+    assert "orders.parquet" not in scans(invoices.gated(spark, sf))
+    assert sorted(map(tuple, QUERIES["gate_verdict"](spark, sf).collect())) == want
