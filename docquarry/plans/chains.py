@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from docquarry.operators import shards
 from docquarry.plans import bindings as b
-from docquarry.plans.queries import query
+from docquarry.plans.queries import _FOLD_SQL, query
 from docquarry.sources.batches import read_batches
 from docquarry.sources.queue import publish, subscribe
 from docquarry.sources.shared import shared_dir
-from docquarry.streaming import shardchain
+from docquarry.streaming import outbox, shardchain
 
 SIZE = 2
 
@@ -54,3 +54,18 @@ def ocr_shard_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = read("claims").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shards_done"))
     told = read("messages").where("topic = 'ocr.completed'").select("doc_id")
     return told.join(done, "doc_id").join(texts, "doc_id").select("doc_id", "shards_done", "n_pages", F.md5("source_text").alias("text_md5"))
+
+
+@query(
+    f"""{_FOLD_SQL}, last AS (SELECT doc_id, arg_max(state, n) AS state, max(last_order) AS last_order FROM f GROUP BY 1)
+SELECT doc_id, state, last_order, CASE state WHEN 'text_pending' THEN 'triage.requests' WHEN 'extract_pending' THEN 'ocr.completed' WHEN 'complete' THEN 'document.extracted' END AS topic FROM last"""
+)
+def state_with_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of each document and the message that was committed with it."""
+    folder = f"{shared_dir(spark)}/outbox-{uuid.uuid4().hex}"
+    b.requests(spark, sf_dir).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("doc_id long, seq long, to_state string").parquet(f"{folder}/in")
+    outbox.run_transitions(stream, f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
+    sent = read_batches(spark, f"{folder}/tables", "messages", outbox.TABLES["messages"])
+    last = sent.groupBy("doc_id").agg(F.max_by("topic", "batch").alias("topic"))
+    return outbox.current(spark, f"{folder}/tables").join(last, "doc_id", "left").select("doc_id", "state", "last_order", "topic")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from docquarry.sources import batches, objects
 from docquarry.sources.queue import publish, subscribe
-from docquarry.streaming import shardchain
+from docquarry.streaming import outbox, shardchain
 
 STATE, MESSAGES = "doc_id long, state string", "id long, doc_id long, topic string"
 
@@ -138,3 +138,40 @@ def test_a_failure_between_writes_leaves_one_completion(spark, tmp_path, monkeyp
 def test_pages_without_an_image_have_no_text(spark):
     pages = spark.createDataFrame([(1, b"a"), (2, None)], "page_no int, image binary")
     assert sorted(tuple(r) for r in shardchain.recognise(pages, shout).collect()) == [(1, "A", 0.5), (2, "", 0.5)]
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_state_and_messages_are_seen_together(spark, tmp_path, monkeypatch, after):
+    """Stopped before or behind the manifest of the second batch; the fold goes on from
+    the state that was committed with the first."""
+    root, source = f"file://{tmp_path}/tables", f"file://{tmp_path}/in"
+    write = lambda rows: spark.createDataFrame(rows, "doc_id long, seq long, to_state string").coalesce(1).write.mode("append").parquet(source)
+
+    def start():
+        stream = spark.readStream.schema("doc_id long, seq long, to_state string").parquet(source)
+        outbox.run_transitions(stream, root, f"file://{tmp_path}/checkpoint").awaitTermination()
+
+    def now():
+        sent = sorted((r["doc_id"], r["topic"]) for r in batches.read_batches(spark, root, "messages", outbox.TABLES["messages"]).collect())
+        return {r["doc_id"]: r["state"] for r in outbox.current(spark, root).collect()}, sent
+
+    write([(1, 1, "text_running"), (2, 1, "text_running"), (2, 2, "extract_pending")])
+    start()
+    first = ({1: "text_running", 2: "extract_pending"}, [(2, "ocr.completed")])
+    assert now() == first
+    write([(1, 5, "extract_pending"), (2, 6, "extract_running"), (2, 7, "complete"), (3, 8, "complete")])
+    put = batches.put_if_absent
+
+    def stopped(*args):
+        if after:
+            put(*args)
+        raise RuntimeError("stopped at the manifest")
+
+    last = ({1: "extract_pending", 2: "complete", 3: "text_pending"}, [(1, "ocr.completed"), (2, "document.extracted"), (2, "ocr.completed"), (3, "triage.requests")])
+    with monkeypatch.context() as broken:
+        broken.setattr(batches, "put_if_absent", stopped)
+        with pytest.raises(Exception, match="stopped"):
+            start()
+    assert now() == (last if after else first)
+    start()
+    assert now() == last
