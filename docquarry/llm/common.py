@@ -16,8 +16,28 @@ from docquarry.sources.shared import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table, read by Spark so that any Hadoop path works."""
-    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """One input table, read by Spark so that any Hadoop path works; texts are dealt
+    out where a few row groups would hold up the work on them."""
+    found = tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(found) if name == "documents" else found
+
+
+def dealt(frame: DataFrame) -> DataFrame:
+    """A plain scan, its rows dealt out to all cores if its files have fewer row groups
+    than there are cores: a row group is read by one task, whatever its size.  A
+    scan of more files than cores, as any large one is, stays as it is, and no
+    footer is read."""
+    spark = frame.sparkSession
+    jvm, cores, paths = spark._jvm, spark.sparkContext.defaultParallelism, frame._jdf.inputFiles()
+    if not 0 < len(paths) < cores:
+        return frame
+    conf, groups = spark._jsc.hadoopConfiguration(), 0
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+        footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(where, conf))
+        groups += footer.getRowGroups().size()
+        footer.close()
+    return frame.repartition(cores) if groups < cores else frame
 
 
 def text_of(column: str = "text") -> Column:

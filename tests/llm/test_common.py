@@ -76,3 +76,19 @@ def test_stars(spark):
     rows = [(5, 1), (1, 1), (6, 1), (6, 2), (2, 2), (7, 2), (7, 7), (9, 8), (8, 8), (8, 7), (30, 30), (None, 4), (4, None)]
     got = {r["node"]: r["component"] for r in graph.star_components(spark.createDataFrame(rows, "node long, center long")).collect()}
     assert got == {5: 1, 1: 1, 6: 1, 2: 1, 7: 1, 9: 1, 8: 1, 30: 30}
+
+
+def test_rows_are_dealt_out_only_where_row_groups_are_few(spark, tmp_path):
+    frame = spark.range(1000).selectExpr("id AS doc_id", "repeat('x', 100) AS text")
+    for name, parts in (("few", 1), ("many", 8)):
+        frame.repartition(parts).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    few, many = (common.table(spark, f"{tmp_path}/{name}", "documents") for name in ("few", "many"))
+    plan = lambda d: d._jdf.queryExecution().toString()
+    assert "RoundRobinPartitioning" in plan(few) and "RoundRobinPartitioning" not in plan(many)
+    assert sorted(r["doc_id"] for r in few.collect()) == sorted(r["doc_id"] for r in many.collect()) == list(range(1000))
+    frame.repartition(1).write.option("parquet.block.size", "1024").option("parquet.page.size", "256").parquet(f"{tmp_path}/blocks/documents.parquet")
+    frame.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert common.table(spark, f"{tmp_path}/none", "documents").count() == 0
+    assert common.table(spark, f"{tmp_path}/blocks", "documents").count() == 1000
+    frame.repartition(1).write.parquet(f"{tmp_path}/od d %41+/documents.parquet")
+    assert common.table(spark, f"{tmp_path}/od d %41+", "documents").count() == 1000
