@@ -1,6 +1,7 @@
 """Replies of models: parsing, typed records, calls and the attempts of a tier."""
 
 import json
+import random
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
@@ -135,3 +136,88 @@ def test_no_service(spark):
     row = made.extract(docs).first()
     assert row["error"] == "transient" and row["record"] is None
     assert made.extract(docs.limit(0)).count() == 0
+
+
+# ---- a plain validator beside the expressions -------------------------------
+
+ORDER = ["doc_type", "invoice_no", "invoice_date", "due_date", "seller", "buyer", "currency", "total_cents", "subtotal_cents", "tax_cents", "iban"]
+
+
+def plain_string(given, name, required=False):
+    if name not in given:
+        return None, "missing" if required else None
+    value = given[name]
+    if value is None:
+        return None, "string_type" if required else None
+    return (value, None) if isinstance(value, str) else (None, "string_type")
+
+
+def plain_integer(given, name, required=False):
+    if name not in given:
+        return None, "missing" if required else None
+    value = given[name]
+    if value is None:
+        return None, "int_type" if required else None
+    if isinstance(value, (bool, int)):
+        return int(value), None
+    if isinstance(value, float):
+        return (int(value), None) if value == int(value) else (None, "int_from_float")
+    if isinstance(value, str):
+        digits, _, rest = value.strip(" ").partition(".")
+        sound = digits.lstrip("+-").isascii() and digits.lstrip("+-").isdigit() and len(digits) - len(digits.lstrip("+-")) <= 1
+        return (int(digits), None) if sound and not rest.strip("0") else (None, "int_parsing")
+    return None, "int_type"
+
+
+def plain_record(given):
+    """The errors and the record of an object, field after field."""
+    errors, record = [], {}
+    for name in ORDER:
+        value, error = (plain_integer if name.endswith("_cents") else plain_string)(given, name)
+        if name == "doc_type":
+            value, error = ("invoice", None) if name not in given else (value, None if value in ("invoice", "receipt", "credit_memo") else "literal_error")
+        if name == "currency":
+            value, error = ("USD", None) if name not in given else (value, "string_type" if value is None else error)
+        record[name] = value
+        errors += [f"{name}:{error}"] if error else []
+    items = given.get("line_items")
+    record["line_items"] = None
+    if items is not None and not isinstance(items, list):
+        errors.append("line_items:list_type")
+    elif items is not None:
+        record["line_items"] = []
+        for k, item in enumerate(items):
+            if not isinstance(item, dict):
+                errors.append(f"line_items.{k}:model_type")
+                continue
+            (text, one), (cents, two) = plain_string(item, "description", True), plain_integer(item, "amount_cents", True)
+            errors += [f"line_items.{k}.{place}:{e}" for place, e in (("description", one), ("amount_cents", two)) if e]
+            record["line_items"].append((text, cents))
+    return ",".join(errors), None if errors else record
+
+
+def test_any_object_is_read_as_by_a_plain_validator(spark):
+    rng = random.Random(17)
+    values = [None, True, False, 5, -3, 10**12, 0, 2.0, 2.5, -0.5, 1000.0, "x", "", " ", " 12 ", "+7", "-0", "--1", "4.000", "4.5", "1e3", "٣", "4.", ".0", "invoice", "receipt", "EUR", [], [1], {}, {"a": 1}]
+    calm = {"doc_type": ["invoice", "credit_memo"], "currency": ["EUR"], "total_cents": [5, "7.0", 3.0, True, None], "seller": ["Acme", None, "ü 日"]}
+
+    def item():
+        return rng.choice([None, 3, {"description": rng.choice(values), "amount_cents": rng.choice(values)}, {"description": "d", "amount_cents": rng.choice([1, "2"])}, {"amount_cents": 4}])
+
+    given = []
+    for k in range(500):
+        one = {n: rng.choice(calm.get(n, ["text" if not n.endswith("cents") else 1, None]) if k % 2 else values) for n in ORDER if rng.random() < 0.6}
+        if rng.random() < 0.5:
+            one["line_items"] = rng.choice([None, "x", 5, {}, [item() for _ in range(rng.randrange(4))], [{"description": "d", "amount_cents": 2}] * rng.randrange(3)])
+        given.append(one)
+    frame = spark.createDataFrame([(k, json.dumps(g)) for k, g in enumerate(given)], "k int, raw string")
+    passed = 0
+    for r in frame.select("k", replies.validate(F.col("raw")).alias("v")).collect():
+        errors, record = plain_record(given[r["k"]])
+        assert r["v"]["errors"] == errors and r["v"]["outcome"] == ("fail" if errors else "pass"), given[r["k"]]
+        if record is not None:
+            passed += 1
+            told = r["v"]["record"].asDict()
+            told["line_items"] = None if told["line_items"] is None else [tuple(i) for i in told["line_items"]]
+            assert told == record, given[r["k"]]
+    assert 50 < passed < 450
