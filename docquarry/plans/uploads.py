@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.functions import text
 from docquarry.operators.recon import text_topic
 from docquarry.plans import bindings as b
-from docquarry.plans.queries import query
+from docquarry.plans.queries import SQL, query
 from docquarry.plans.triage import PAGE_CEILING, triage
-from docquarry.sources.blobs import with_object_ids
+from docquarry.sources.batches import read_batches
+from docquarry.sources.blobs import with_object_ids, write_blobs
 from docquarry.sources.inspect import as_files, inspect
+from docquarry.sources.queue import decoded, publish, subscribe
+from docquarry.sources.shared import shared_dir
+from docquarry.streaming import intake
 
 PAGE_CHARS, SHARD_PAGES = 400, 4
 FORM = """CASE WHEN doc_id % 23 = 0 THEN 'empty' WHEN doc_id % 11 = 1 THEN 'plain' WHEN doc_id % 11 = 2 THEN 'png' WHEN doc_id % 13 = 5 THEN 'locked'
@@ -67,3 +73,22 @@ def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The identity of each text's bytes."""
     texts = b.read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("content"))
     return with_object_ids(texts).select("doc_id", F.length("content").cast("long").alias("size"), "object_id")
+
+
+@query(f"SELECT doc_id, result, state, last_error, topic FROM ({SQL['triage_bytes']}) WHERE result <> 'duplicate'")
+def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same uploads written as objects, told of on the queue, some twice, and taken
+    in from a stream: rows of the ledger, and the messages that were committed
+    with them."""
+    folder = f"{shared_dir(spark)}/intake-{uuid.uuid4().hex}"
+    named = uploads(spark, sf_dir).select(F.format_string("upload-%012d.bin", "doc_id").alias("path"), "content")
+    written = write_blobs(named, f"{folder}/inbox").select("path")
+    told = written.select(F.explode(F.when(F.crc32("path") % 5 == 0, F.array("path", "path")).otherwise(F.array("path"))).alias("path"))
+    message = told.select(F.xxhash64("path").alias("id"), "path", F.lit("triage.requests").alias("topic"), F.to_json(F.struct("path")).alias("payload"))
+    publish(message.select("id", F.col("path").alias("doc_id"), "topic", "payload", F.lit("2024-01-01").cast("timestamp").alias("created_at")), f"{folder}/queue")
+    asked = decoded(subscribe(spark, f"{folder}/queue", ["triage.requests"]), "path string").select("body.path")
+    intake.run_intake(asked, f"{folder}/inbox", f"{folder}/tables", f"{folder}/checkpoint", shard_size=SHARD_PAGES).awaitTermination()
+    read = lambda name: read_batches(spark, f"{folder}/tables", name, intake.TABLES[name])
+    sent = read("messages").select(F.get_json_object("payload", "$.gcs_path").alias("gcs_path"), "topic")
+    number = F.regexp_extract("gcs_path", "upload-([0-9]+)", 1).cast("long")
+    return read("documents").join(sent, "gcs_path", "left").select(number.alias("doc_id"), "result", "state", "last_error", "topic")

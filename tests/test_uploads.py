@@ -1,6 +1,7 @@
 """Triage from bytes: generated files, odd and broken ones among them."""
 
 import base64
+import json
 import random
 import zlib
 
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 
 from docquarry.functions import crc32c
 from docquarry.plans.triage import triage
-from docquarry.sources import objects
+from docquarry.sources import batches, objects
 from docquarry.sources.blobs import with_object_ids, write_blobs
 from docquarry.sources.inspect import inspect_prefix, sniffed_type
 from docquarry.sources.pdf import Facts, facts, make_pdf
+from docquarry.streaming import intake
 
 
 def handmade(objects, trailer="<</Root 1 0 R>>", before=b"", prev=None):
@@ -177,3 +179,51 @@ def test_objects_are_written_with_their_identity(spark, tmp_path):
     (tmp_path / "blocked").write_text("a file where a folder should be")
     with pytest.raises(Exception, match="blocked"):
         write_blobs(frame, f"file://{tmp_path}/blocked").collect()
+
+
+# ---- intake -------------------------------------------------------------------
+
+
+def test_intake_over_several_batches_and_a_stop(spark, tmp_path, monkeypatch):
+    """Copies within and across batches, objects that vanished or were told of twice, and
+    a stop behind the rows and before the manifest."""
+    inbox, root, source = tmp_path / "inbox", f"file://{tmp_path}/tables", f"file://{tmp_path}/told"
+    inbox.mkdir()
+    rounds = [
+        {"a.pdf": make_pdf(["Invoice No: 17"]), "b.pdf": make_pdf(["Invoice No: 17"]), "scan.pdf": make_pdf(["", ""]), "empty.pdf": b"", "gone.pdf": None},
+        {"c.pdf": make_pdf(["Invoice No: 17"]), "d.pdf": make_pdf(["A receipt, No 4"], compact=True), "cut.pdf": make_pdf(["x"])[:100], "cut2.pdf": make_pdf(["x"])[:100]},
+    ]
+
+    def tell(files):
+        for name, data in files.items():
+            if data is not None:
+                (inbox / name).write_bytes(data)
+        spark.createDataFrame([(n,) for n in [*files, next(iter(files))]], "path string").coalesce(1).write.mode("append").parquet(source)
+
+    def start():
+        told = spark.readStream.schema("path string").option("maxFilesPerTrigger", 1).parquet(source)
+        intake.run_intake(told, f"file://{inbox}", root, f"file://{tmp_path}/checkpoint").awaitTermination()
+
+    read = lambda name: batches.read_batches(spark, root, name, intake.TABLES[name]).collect()
+    tell(rounds[0])
+    start()
+    assert {r["gcs_path"]: (r["result"], r["state"]) for r in read("documents")} == {
+        "a.pdf": ("dispatched", "text_pending"), "scan.pdf": ("dispatched", "text_pending"), "empty.pdf": ("zero_byte", "failed"),
+    }
+    tell(rounds[1])
+
+    def stopped(*_):
+        raise RuntimeError("stopped before the manifest")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(batches, "put_if_absent", stopped)
+        with pytest.raises(Exception, match="stopped"):
+            start()
+    assert len(read("documents")) == 3 and len(read("messages")) == 2
+    start()
+    rows = {r["gcs_path"]: r for r in read("documents")}
+    assert len(read("documents")) == len(rows) == 6 and set(rows) == {"a.pdf", "scan.pdf", "empty.pdf", "d.pdf", "cut.pdf", "cut2.pdf"}
+    assert rows["cut.pdf"]["result"] == rows["cut2.pdf"]["result"] == "corrupt" and rows["d.pdf"]["doc_type"] == "receipt"
+    sent = {json.loads(r["payload"])["gcs_path"]: (r["topic"], r["object_id"]) for r in read("messages")}
+    assert {n: t for n, (t, _) in sent.items()} == {"a.pdf": "text.embedded", "scan.pdf": "ocr.split", "d.pdf": "text.embedded"}
+    assert sent["a.pdf"][1] == f"crc32c-{bitwise(rounds[0]['a.pdf']):08x}" == rows["a.pdf"]["object_id"]
