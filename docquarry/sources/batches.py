@@ -59,9 +59,9 @@ def read_batches(spark: SparkSession, root: str, name: str, schema: str) -> Data
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def compact_batches(spark: SparkSession, root: str, schemas: dict[str, str]) -> bool:
-    """Write the rows of all batches so far once more, in few files, and let one
-    manifest stand for theirs.  Readers of the older folders are not disturbed."""
+def compact_batches(spark: SparkSession, root: str, schemas: dict[str, str], files: int = 8) -> bool:
+    """Write the rows of all batches so far once more, in ``files`` files a table, and let
+    one manifest stand for theirs.  Readers of the older folders are not disturbed."""
     told = _committed(spark, root)
     if len(told) < 2:
         return False
@@ -70,7 +70,7 @@ def compact_batches(spark: SparkSession, root: str, schemas: dict[str, str]) ->
         folders[name] = f"{name}/{upto:020d}-{uuid.uuid4().hex}"
         older = _paths(root, told, name)
         rows = spark.read.schema(schema).parquet(*older) if older else spark.createDataFrame([], schema)
-        rows.repartition(max(1, rows.rdd.getNumPartitions() // 8)).write.parquet(f"{root}/{folders[name]}")
+        rows.repartition(files).write.parquet(f"{root}/{folders[name]}")
     return put_if_absent(spark, _manifest(root, upto, "whole"), json.dumps({"upto": upto, "folders": folders}).encode())
 
 
