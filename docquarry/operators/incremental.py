@@ -9,6 +9,7 @@ are numbered versions that name their files.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,33 +25,46 @@ FOLDED = "state string, accepted long, rejected long, last_order long"
 # ---- the fold -----------------------------------------------------------------
 
 
-def read_fold(spark: SparkSession, root: str, key: str, key_type: str = "long", buckets: list[int] | None = None) -> DataFrame:
-    """The kept fold, or some of its buckets."""
+def read_fold(
+    spark: SparkSession, root: str, key: str, key_type: str = "long", buckets: list[int] | None = None, columns: str = FOLDED
+) -> DataFrame:
+    """The kept fold, or some of its buckets; ``columns`` are those beside the key."""
     _, told = latest(spark, root)
     folders = [f for b, f in told.get("buckets", {}).items() if buckets is None or int(b) in buckets]
-    schema = f"{key} {key_type}, {FOLDED}"
+    schema = f"{key} {key_type}, {columns}"
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def fold_in(spark: SparkSession, root: str, requests: DataFrame, key: str, order: str, target: str, key_type: str = "long", buckets: int = BUCKETS) -> list[int]:
-    """Fold ``requests`` newer than the kept fold into it; the buckets that changed.
-
-    Requests up to the order it reaches already are passed over, so that a run
-    that is repeated changes nothing.  Only the buckets of new requests are read
-    and written; the others stay the files they are."""
+def keep_fold(
+    spark: SparkSession,
+    root: str,
+    events: DataFrame,
+    key: str,
+    order: str,
+    fold: Callable[[DataFrame, DataFrame], DataFrame],
+    columns: str,
+    key_type: str = "long",
+    buckets: int = BUCKETS,
+) -> list[int]:
+    """Fold the events newer than the kept fold into it; the buckets that changed.
+    ``fold`` makes the new rows of new events and the rows there were.
+
+    Events up to the order it reaches already are passed over, so that a run that
+    is repeated changes nothing.  Only the buckets of new events are read and
+    written, a task each; the others stay the files they are.  The number of
+    buckets is that of the first run: so many that one fits a task."""
     touched: list[int] = []
 
     def step(number: int, told: dict) -> dict | None:
         count, upto = told.get("count", buckets), told.get("upto")
-        fresh = requests if upto is None else requests.where(F.col(order) > upto)
+        fresh = events if upto is None else events.where(F.col(order) > upto)
         bucket = F.pmod(F.xxhash64(F.col(key).cast(key_type)), F.lit(count)).cast("int")
         seen = fresh.groupBy(bucket.alias("b")).agg(F.max(order).alias("o")).collect()  # at most ``count`` rows
         if not seen:
             touched.clear()
             return None
         touched[:] = sorted(r["b"] for r in seen)
-        before = read_fold(spark, root, key, key_type, touched)
-        folded = transition_fold(fresh, key, order, target, snapshot=before).withColumn("_bucket", bucket)
+        folded = fold(fresh, read_fold(spark, root, key, key_type, touched, columns)).withColumn("_bucket", bucket)
         folder = f"{root}/buckets/{uuid.uuid4().hex}"
         folded.repartition("_bucket").write.partitionBy("_bucket").parquet(folder)
         mapped = told.get("buckets", {}) | {str(b): f"{folder}/_bucket={b}" for b in touched}
@@ -60,6 +74,34 @@ def fold_in(spark: SparkSession, root: str, requests: DataFrame, key: str, order
     return list(touched)
 
 
+def fold_in(spark: SparkSession, root: str, requests: DataFrame, key: str, order: str, target: str, key_type: str = "long", buckets: int = BUCKETS) -> list[int]:
+    """``keep_fold`` of transition requests: the columns of ``transition_fold``."""
+    fold = lambda fresh, before: transition_fold(fresh, key, order, target, snapshot=before)
+    return keep_fold(spark, root, requests, key, order, fold, FOLDED, key_type, buckets)
+
+
+def _dated(values: dict[str, str]) -> str:
+    return ", ".join(f"{name} struct<at:long,value:{kind}>" for name, kind in values.items())
+
+
+def fold_last_values(spark: SparkSession, root: str, events: DataFrame, key: str, order: str, values: dict[str, str], key_type: str = "long", buckets: int = BUCKETS) -> list[int]:
+    """``keep_fold`` of the last value that is not null of each column of ``values`` (name to
+    type), kept with the order of its write, since columns are written at
+    different times."""
+
+    def fold(fresh: DataFrame, before: DataFrame) -> DataFrame:
+        written = [F.when(F.col(v).isNotNull(), F.struct(F.col(order).cast("long").alias("at"), F.col(v).cast(kind).alias("value"))).alias(v) for v, kind in values.items()]
+        rows = fresh.select(F.col(key).cast(key_type).alias(key), *written).unionByName(before)
+        return rows.groupBy(key).agg(*[F.max(v).alias(v) for v in values])
+
+    return keep_fold(spark, root, events, key, order, fold, _dated(values), key_type, buckets)
+
+
+def read_last_values(spark: SparkSession, root: str, key: str, values: dict[str, str], key_type: str = "long") -> DataFrame:
+    found = read_fold(spark, root, key, key_type, None, _dated(values))
+    return found.select(key, *[F.col(f"{v}.value").alias(v) for v in values])
+
+
 # ---- the log ------------------------------------------------------------------
 
 

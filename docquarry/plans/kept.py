@@ -55,3 +55,19 @@ def pruned_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for days in (20, 10):
         incremental.prune_log(spark, root, "id", at, b.as_of(b.EVENTS_AS_OF) - F.make_dt_interval(days=F.lit(days)))
     return incremental.read_log(spark, root, LOG).select("id", "doc_id")
+
+
+VALUES = {"kind": "string", "value": "double", "error": "string"}
+
+
+@query(SQL["last_values"])
+def incremental_last_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last value of each column, kept over three runs that each read what is new."""
+    root = _folder(spark, "values")
+    events = b.read(spark, sf_dir, "events").selectExpr(
+        "user_id AS doc_id", "event_id", "event_type AS kind", "CASE WHEN event_type = 'view' THEN value END AS value", "CASE WHEN event_type = 'error' THEN props END AS error"
+    )
+    most = events.agg(F.max("event_id").alias("most")).first()["most"] or 0
+    for upto in (most // 2, most - most // 10, most):
+        incremental.fold_last_values(spark, root, events.where(F.col("event_id") <= upto), "doc_id", "event_id", VALUES, buckets=8)
+    return incremental.read_last_values(spark, root, "doc_id", VALUES)

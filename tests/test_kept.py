@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docquarry.operators import incremental, recon
-from docquarry.operators.ledger import transition_fold
+from docquarry.operators.ledger import last_values, transition_fold
 from docquarry.sources import leases, objects, versions
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -159,3 +159,17 @@ def test_a_log_without_times_or_rows_is_left_alone(spark, tmp_path):
     assert incremental.prune_log(spark, root, "id", at, F.lit("2030-01-01").cast("timestamp"))["dropped"] == 0
     assert recon.prune(rows, F.lit("2030-01-01").cast("timestamp"), 1).count() == incremental.read_log(spark, root, "id long").count() == 10
     assert objects.exists(spark, f"{root}/files")
+
+
+def test_kept_last_values_equal_those_of_everything(spark, tmp_path):
+    rng, root, kinds = random.Random(6), f"file://{tmp_path}/values", {"a": "string", "b": "long"}
+    every, schema = [], "doc_id long, seq long, a string, b long"
+    for turn in range(3):
+        docs = 40 if turn != 1 else 2
+        every += [(rng.randrange(docs), 100 * turn + k, rng.choice([None, "x", "y"]), rng.choice([None, k])) for k in range(60)]
+        frame = spark.createDataFrame(every, schema)
+        changed = incremental.fold_last_values(spark, root, frame, "doc_id", "seq", kinds, buckets=16)
+        assert turn != 1 or len(changed) <= 2
+        want = last_values(frame, "doc_id", "seq", ["a", "b"])
+        assert sorted(map(tuple, incremental.read_last_values(spark, root, "doc_id", kinds).collect())) == sorted(map(tuple, want.collect()))
+    assert incremental.fold_last_values(spark, root, frame, "doc_id", "seq", kinds, buckets=16) == []
