@@ -25,6 +25,11 @@ def content_type(path: Column) -> Column:
     return told
 
 
+def _checksums(contents: list[bytes | None]) -> list[int | None]:
+    sums = iter(crc32c.of_bytes([c for c in contents if c is not None]).tolist())
+    return [None if c is None else next(sums) for c in contents]
+
+
 def write_blobs(rows: DataFrame, root: str) -> DataFrame:
     """Write each ``content`` to ``root``/``path``; ``path``, ``size``, ``content_type`` and ``object_id``
     of what was read back, an error where that is not what was written.
@@ -35,29 +40,26 @@ def write_blobs(rows: DataFrame, root: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = pafs.FileSystem.from_uri(root.removeprefix("file:") if "://" not in root else root)
+        folders = set()
         for batch in batches:
             paths, contents = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            stored = []
             for path, content in zip(paths, contents, strict=True):
                 if content is None:
-                    stored.append(None)
                     continue
                 place = f"{base}/{path}"
-                system.create_dir(place.rpartition("/")[0], recursive=True)
+                folder = place.rpartition("/")[0]
+                if folder not in folders:
+                    system.create_dir(folder, recursive=True)
+                    folders.add(folder)
                 fresh = f"{place}.{uuid.uuid4().hex}"
                 with system.open_output_stream(fresh) as out:
                     out.write(content)
                 system.move(fresh, place)
                 with system.open_input_file(place) as source:
-                    stored.append(source.read())
-            given = [s for s in stored if s is not None]
-            sums = iter(crc32c.of_bytes(given).tolist())
-            wanted = iter(crc32c.of_bytes([c for c in contents if c is not None]).tolist())
-            told = [None if s is None else next(sums) for s in stored]
-            for path, content, found in zip(paths, contents, told, strict=True):
-                if content is not None and found != next(wanted):
-                    raise OSError(f"{path} is not what was written")
-            sizes = [None if s is None else len(s) for s in stored]
+                    if source.read() != content:
+                        raise OSError(f"{path} is not what was written")
+            sizes = [None if c is None else len(c) for c in contents]
+            told = _checksums(contents)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(told, pa.int64())], ["path", "size", "checksum"])
 
     written = rows.select("path", "content").mapInArrow(run, "path string, size long, checksum long")
@@ -65,10 +67,14 @@ def write_blobs(rows: DataFrame, root: str) -> DataFrame:
 
 
 def read_blobs(rows: DataFrame, root: str, together: int = 16_000_000) -> DataFrame:
-    """``rows`` (``path``, below ``root``) with ``content``, empty objects too; null where there
-    is no such object any more.  Tasks read the objects, some MB at a time; the
+    """``rows`` (``path``, below ``root``) with ``content``, empty objects too, and its CRC-32C as
+    ``checksum``; null where there is no such object any more.  Tasks read the objects, some MB at a time; the
     driver lists nothing."""
 
+    def out(paths: list, contents: list) -> pa.RecordBatch:
+        columns = [pa.array(paths, pa.string()), pa.array(contents, pa.binary()), pa.array(_checksums(contents), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["path", "content", "checksum"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = pafs.FileSystem.from_uri(root.removeprefix("file:") if "://" not in root else root)
         for batch in batches:
@@ -81,12 +87,12 @@ def read_blobs(rows: DataFrame, root: str, together: int = 16_000_000) -> DataFr
                 paths.append(path), contents.append(content)
                 held += len(content or b"")
                 if held > together:
-                    yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+                    yield out(paths, contents)
                     paths, contents, held = [], [], 0
             if paths:
-                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+                yield out(paths, contents)
 
-    return rows.select("path").mapInArrow(run, "path string, content binary")
+    return rows.select("path").mapInArrow(run, "path string, content binary, checksum long")
 
 
 def with_object_ids(objects: DataFrame) -> DataFrame:
