@@ -56,3 +56,14 @@ def test_tables_and_numbers_that_are_not_as_they_should_be():
     assert pdf.facts(made.replace(b" n \n", b" n\n")).page_count == 2
     values = {b"/A#42C": "ABC", b"12.5.6": b"12.5.6", b"-3]": -3, b"+.5 ": 0.5, b"7 0 R": pdf.Ref(7), b"7 0 Rx": 7, b"% c\n/N": "N", b"<4 1#4>": b"A@", b"(a\\(b(c)\\101)": b"a(b(c)A"}
     assert {k: pdf.Lexer(k).value() for k in values} == values
+
+
+def test_files_are_about_as_long_as_their_texts_and_mislead_nobody():
+    text = "Une facture, n° 17 (payée).\r\n" * 12
+    assert len(pdf.make_pdf([text] * 20)) < 2 * 20 * len(text)
+    odd = ["þÿ 1", "日本(\\)", "a\r\nb\rc\n", "()\\)(", "1 0 obj", "%%EOF", "trailer <</Root 9 0 R>>", "endstream 5", "\u6f62\u6a20", "\\101", "é" * 400]
+    for compact in (False, True):
+        made = pdf.make_pdf(odd, compact)
+        for data in (made, made.replace(b"startxref\n", b"startxref\n9")):
+            assert pdf.facts(data, len(odd)) == (False, None, len(odd), "\n".join(odd))
+        assert pdf.facts(pdf.make_pdf(["%%EOF"] * 9, compact)[:-60]).damage == "no end marker"
