@@ -19,6 +19,8 @@ FIELD_PATTERNS = {
 }
 MONEY_LABELS = {"total_cents": "Total", "subtotal_cents": "Subtotal", "tax_cents": "Tax"}
 LINE_ITEM = r"Line Item:\s*([^\n]+?)\s*\|\s*(\$?-?[\d,]+\.\d{2})"
+#: Space separators (Zs), which DuckDB's trim strips.
+BLANKS = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 ALLOWED_TYPES = ("application/pdf", "image/jpeg", "image/png", "image/tiff")
 
 
@@ -74,8 +76,8 @@ def doc_type(text: Column) -> Column:
 
 
 def has_text_layer(sample: Column, least: int = 5) -> Column:
-    """Loose hint: a few characters and a digit."""
-    return F.coalesce((F.length(F.trim(sample)) >= least) & sample.rlike("[0-9]"), F.lit(False))
+    """Loose hint: a few characters, blanks of any script at the ends aside, and a digit."""
+    return F.coalesce((F.length(F.trim(sample, F.lit(BLANKS))) >= least) & sample.rlike("[0-9]"), F.lit(False))
 
 
 def fields(text: Column) -> Column:

@@ -1,10 +1,15 @@
 """Work of the intake: spread over tasks, and in proportion to a file's size."""
 
 import random
+from collections import Counter
+from pathlib import Path
 
+import duckdb
 from pyspark.sql import functions as F
 
 from docquarry.functions import crc32c
+from docquarry.plans import uploads
+from docquarry.plans.queries import QUERIES, SQL
 from docquarry.sources import batches, pdf
 from docquarry.streaming import intake
 
@@ -67,3 +72,34 @@ def test_files_are_about_as_long_as_their_texts_and_mislead_nobody():
         for data in (made, made.replace(b"startxref\n", b"startxref\n9")):
             assert pdf.facts(data, len(odd)) == (False, None, len(odd), "\n".join(odd))
         assert pdf.facts(pdf.make_pdf(["%%EOF"] * 9, compact)[:-60]).damage == "no end marker"
+
+
+def test_odd_uploads_are_as_in_sql(spark, tmp_path, monkeypatch):
+    """Ids that are negative, very large, null or there twice; texts that are null, empty or
+    begin like other files; blanks of other scripts; messages in more files than a batch
+    commonly takes."""
+    same, big = "Invoice No: 17 is the same", 10**13
+    rows = [(-k, same) for k in range(1, 60)] + [(10**12 + k * (big - 10**12) // 40, same) for k in range(400)]
+    rows += [(3, "twice 1"), (3, "twice 1"), (3, "twice 2"), (18, "cut"), (18, "cut"), (-(1 << 63), "least"), ((1 << 63) - 1, "most 123"), (None, "no id 1"), (None, "no id 2")]
+    rows += [(11 * k + 1, text) for k, text in enumerate([None, "", "%PDF-1.4", "II*\0", "MM\0*", "﻿﻿"], 300)] + [(23 * 11, None), (24, ""), (25, None)]
+    rows += [(6 * 11 * 7 + 3 + 77 * k, text) for k, text in enumerate(["　　　1 ", "  1234", "\t123\n", "　a1b2c ", "​123​"])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame.repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    told, subscribe = [], uploads.subscribe
+
+    def few(session, root, topics, files_per_batch=1):
+        told.append(len(list(Path(root.removeprefix("file:")).rglob("*.parquet"))))
+        return subscribe(session, root, topics, files_per_batch)
+
+    monkeypatch.setattr(uploads, "subscribe", few)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "50")
+    try:
+        found = QUERIES["stream_intake"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert told[0] > 5
+    assert Counter(map(tuple, found)) == Counter(con.sql(SQL["stream_intake"]).fetchall())
+    files = [tuple(r) for r in QUERIES["inspect_bytes"](spark, str(tmp_path)).collect()]
+    assert Counter(files) == Counter(con.sql(SQL["inspect_bytes"]).fetchall())
